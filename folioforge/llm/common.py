@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -23,7 +29,48 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context._jsc.sc().getCheckpointDir().isEmpty():
         folder = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "folioforge-checkpoints")
         context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    with shuffles_dropped(spark):
+        return df.select("*").checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows of df from a compressed table in the checkpoint folder, for what's large.
+
+    The shuffle files that it took are dropped once it is written. Tables are removed when
+    the application ends; a lost executor costs nothing, as they stand in the shared folder.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "folioforge-checkpoints")
+    path = f"{folder}/table-{uuid.uuid4().hex}"
+    with shuffles_dropped(spark):
+        df.select("*").write.parquet(path)
+    _tables.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_tables: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def _remove_tables() -> None:
+    for spark, path in _tables:
+        try:
+            jvm = spark.sparkContext._jvm
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        except Exception:  # the application may have ended already
+            return
+
+
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Queries made and run inside leave no shuffle files behind."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
 
 
 def partitions(spark: SparkSession) -> int:

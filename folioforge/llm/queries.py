@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, simhash, substring_dedup, url_filter
+from . import decontaminate, language_id, mixing, simhash, substring_dedup, url_filter
 from .common import table
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return planned.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -19,6 +23,11 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.train(docs))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeats(table(spark, sf_dir, "documents"), with_text=False)
 
@@ -28,7 +37,14 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op3_mix": op3_mix, "op5_url_rules": op5_url_rules, "op8_substring_dedup": op8_substring_dedup, "op9_simhash": op9_simhash}
+QUERIES = {
+    "op2_decontaminate": op2_decontaminate,
+    "op3_mix": op3_mix,
+    "op5_url_rules": op5_url_rules,
+    "op7_language": op7_language,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op9_simhash": op9_simhash,
+}
 
 ORACLE_SQL = {
     "op3_mix": r"""

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
 from .kernel import Words, pieces, signed
 
 WINDOW = 13
@@ -92,7 +93,7 @@ def _member(h: np.ndarray, row: np.ndarray, wanted: np.ndarray, wanted_row: np.n
     return among[at] == key
 
 
-def _cut(marks: bool, text: bool):
+def _cut(text: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_rows = batch.num_rows
@@ -118,12 +119,19 @@ def _cut(marks: bool, text: bool):
                     n_words.append(int(b - a))
                     n_removed.append(int(lost.sum()))
                     stay = np.flatnonzero(~lost) + a
-                    kept.append(b" ".join([raw[s:e] for s, e in zip(words.starts[stay].tolist(), words.ends[stay].tolist(), strict=True)]))
+                    if not len(stay):
+                        kept.append(b"")
+                    elif text and len(stay) == b - a:
+                        kept.append(raw[words.offsets[r] : words.offsets[r + 1]])
+                    else:
+                        kept.append(b" ".join([raw[s:e] for s, e in zip(words.starts[stay].tolist(), words.ends[stay].tolist(), strict=True)]))
+                    if not text:
+                        continue
                     edges = np.flatnonzero(np.diff(np.concatenate(([0], lost.astype(np.int8), [0]))))
                     spans.append([{"start": int(s), "end": int(e)} for s, e in zip(edges[::2], edges[1::2], strict=True)])
             out = [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())]
-            names = ["doc_id", "n_words", "n_removed"]
-            out.append(pa.array([hashlib.sha256(x).hexdigest() for x in kept]))
+            names = [batch.schema.names[0], "n_words", "n_removed"]
+            out.append(pa.array([hashlib.sha256(x if not text else b" ".join(x.split())).hexdigest() for x in kept]))
             names.append("kept_sha256")
             if text:
                 out.append(pa.array([x.decode() for x in kept], pa.string()))
@@ -145,19 +153,35 @@ def repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     counts as the largest; rows with one doc_id aren't held against each other. Windows are
     judged on the input. Other columns are ignored; an empty table gives an empty result.
     """
+    return _judged(docs, F.col("doc_id").cast("long").alias("doc_id"), with_text)
+
+
+def cut_documents(docs: DataFrame) -> DataFrame:
+    """The documents with the words that ``repeats`` removes cut from text; kept words are joined by one space.
+
+    A text that loses nothing stays as it is, to the byte. All columns and rows stay, with an n_removed added last.
+    """
+    rest = [c for c in docs.columns if c not in ("text", "n_removed")]
+    cut = _judged(docs, F.struct(*rest, F.col("text").isNull().alias("_null")).alias("row"), True)
+    text = F.when(F.col("row._null"), F.lit(None)).otherwise(F.col("kept_text")).alias("text")
+    return cut.select(*[text if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns if c != "n_removed"], "n_removed")
+
+
+def _judged(docs: DataFrame, carried, with_text: bool) -> DataFrame:
     own = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("d")
-    texts = docs.select(own, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
+    texts = docs.select(own, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), carried)
+    name = texts.columns[2]
     plain = texts.select("d", "text")
     blocks = plain.mapInArrow(_grams(True), "h long, d long").groupBy("h").agg(F.min("d").alias("least"))
     hits = plain.mapInArrow(_grams(False), "h long, d long").join(blocks, "h").where("d > least")
     # a text with a hit, and the first text that holds the block, are both looked at closer
-    flagged = hits.select("h", F.explode(F.array("d", "least")).alias("d")).groupBy("d").agg(F.collect_set("h").alias("flags"))
+    flagged = stored(hits.select("h", F.explode(F.array("d", "least")).alias("d")).groupBy("d").agg(F.collect_set("h").alias("flags")))
     near = plain.join(flagged, "d").select("d", "text", "flags").mapInArrow(_candidates, "h0 long, h1 long, d long")
     least = near.groupBy("h0", "h1").agg(F.min("d").alias("least"), F.max("d").alias("most")).where("most > least").select("h0", "h1", "least")
-    marks = near.join(least, ["h0", "h1"]).where("d > least").groupBy("d").agg(F.collect_set(F.struct("h0", "h1")).alias("marks"))
+    marks = stored(near.join(least, ["h0", "h1"]).where("d > least").groupBy("d").agg(F.collect_set(F.struct("h0", "h1")).alias("marks")))
     none = F.array().cast("array<struct<h0:long,h1:long>>")
-    marked = texts.join(marks, "d", "left").select("doc_id", "text", F.coalesce("marks", none).alias("marks"))
-    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
+    marked = texts.join(marks, "d", "left").select(name, "text", F.coalesce("marks", none).alias("marks"))
+    schema = f"{name} {texts.schema[name].dataType.simpleString()}, n_words long, n_removed long, kept_sha256 string"
     if with_text:
         schema += ", kept_text string, spans array<struct<start:long,end:long>>"
-    return marked.mapInArrow(_cut(True, with_text), schema)
+    return marked.mapInArrow(_cut(with_text), schema)
