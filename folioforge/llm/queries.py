@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, mixing, simhash, substring_dedup, url_filter
+from . import decontaminate, language_id, mixing, simhash, substring_dedup, toxicity, url_filter
 from .common import table
 
 
@@ -37,6 +37,11 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_mix": op3_mix,
@@ -44,6 +49,7 @@ QUERIES = {
     "op7_language": op7_language,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_simhash": op9_simhash,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL = {
