@@ -48,7 +48,8 @@ def _grams(aligned: bool):
                 keep = (words.first[1:] - words.first[:-1])[row] >= WINDOW
                 if aligned:
                     keep &= (at - words.first[row]) % BLOCK == 0
-                h, row = _unique(h[keep], row[keep])
+                # 48 bits: a chance hit costs a closer look, and the rows are smaller
+                h, row = _unique(h[keep] >> np.uint64(16), row[keep])
                 yield pa.RecordBatch.from_arrays([pa.array(signed(h)), pa.array(ids[i:j][row])], ["h", "d"])
 
     return run
@@ -66,7 +67,7 @@ def _candidates(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts = np.diff(own.offsets.to_numpy())
             wanted_row = np.repeat(np.arange(j - i), counts)
             wanted = own.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            hit = _member(h, words.rows[at], wanted, wanted_row)
+            hit = _member(h >> np.uint64(16), words.rows[at], wanted, wanted_row)
             near = np.zeros(len(words.starts) + 1, np.int64)
             near[at[hit]] = 1
             total = np.concatenate(([0], np.cumsum(near)))
@@ -111,7 +112,8 @@ def _cut(text: bool):
                 change = np.zeros(len(words.starts) + 1, np.int64)
                 np.add.at(change, hit, 1)
                 np.add.at(change, hit + WINDOW, -1)
-                gone = np.cumsum(change[:-1]) > 0
+                whole = batch.column(3).slice(i, j - i).to_numpy(zero_copy_only=False).astype(bool) & (np.diff(words.first) >= WINDOW)
+                gone = (np.cumsum(change[:-1]) > 0) | whole[words.rows]
                 raw = words.raw.tobytes()
                 for r in range(j - i):
                     a, b = words.first[r], words.first[r + 1]
@@ -172,15 +174,21 @@ def _judged(docs: DataFrame, carried, with_text: bool) -> DataFrame:
     texts = docs.select(own, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), carried)
     name = texts.columns[2]
     plain = texts.select("d", "text")
+    digest = texts.select("d", F.unhex(F.md5("text")).alias("digest"))
+    same = digest.groupBy("digest").agg(F.min("d").alias("least"), F.max("d").alias("most")).where("most > least").select("digest", "least")
+    later = digest.join(same, "digest").groupBy("d").agg(F.min(F.col("d") > F.col("least")).alias("copied"), F.count("*").alias("n"))
+    # of several rows under one doc_id, all must be copies
+    copies = stored(later.where("copied").join(texts.groupBy("d").agg(F.count("*").alias("of")), "d").where("n = of").select("d"))
     blocks = plain.mapInArrow(_grams(True), "h long, d long").groupBy("h").agg(F.min("d").alias("least"))
-    hits = plain.mapInArrow(_grams(False), "h long, d long").join(blocks, "h").where("d > least")
+    hits = plain.mapInArrow(_grams(False), "h long, d long").join(blocks, "h").where("d > least").join(copies, "d", "left_anti")
     # a text with a hit, and the first text that holds the block, are both looked at closer
     flagged = stored(hits.select("h", F.explode(F.array("d", "least")).alias("d")).groupBy("d").agg(F.collect_set("h").alias("flags")))
     near = plain.join(flagged, "d").select("d", "text", "flags").mapInArrow(_candidates, "h0 long, h1 long, d long")
     least = near.groupBy("h0", "h1").agg(F.min("d").alias("least"), F.max("d").alias("most")).where("most > least").select("h0", "h1", "least")
     marks = stored(near.join(least, ["h0", "h1"]).where("d > least").groupBy("d").agg(F.collect_set(F.struct("h0", "h1")).alias("marks")))
     none = F.array().cast("array<struct<h0:long,h1:long>>")
-    marked = texts.join(marks, "d", "left").select(name, "text", F.coalesce("marks", none).alias("marks"))
+    gone = marks.select("d", "marks", F.lit(False).alias("whole")).unionByName(copies.select("d", none.alias("marks"), F.lit(True).alias("whole")))
+    marked = texts.join(gone, "d", "left").select(name, "text", F.coalesce("marks", none).alias("marks"), F.coalesce("whole", F.lit(False)).alias("whole"))
     schema = f"{name} {texts.schema[name].dataType.simpleString()}, n_words long, n_removed long, kept_sha256 string"
     if with_text:
         schema += ", kept_text string, spans array<struct<start:long,end:long>>"
