@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, mixing, simhash, substring_dedup, toxicity, url_filter
+from . import ann, decontaminate, language_id, mixing, simhash, substring_dedup, toxicity, url_filter
 from .common import table
 
 
@@ -18,6 +18,11 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(url_filter.RULES), "host string, path string, verdict string")
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
@@ -45,6 +50,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_mix": op3_mix,
+    "op4_nearest": op4_nearest,
     "op5_url_rules": op5_url_rules,
     "op7_language": op7_language,
     "op8_substring_dedup": op8_substring_dedup,
