@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, language_id, mixing, simhash, substring_dedup, toxicity, url_filter
+from . import ann, decontaminate, html_extract, language_id, lm_score, mixing, simhash, substring_dedup, toxicity, url_filter
 from .common import table
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -28,6 +32,10 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_id.predict(docs, language_id.train(docs))
@@ -48,10 +56,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_score": op1_lm_score,
     "op2_decontaminate": op2_decontaminate,
     "op3_mix": op3_mix,
     "op4_nearest": op4_nearest,
     "op5_url_rules": op5_url_rules,
+    "op6_main_text": op6_main_text,
     "op7_language": op7_language,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_simhash": op9_simhash,
