@@ -417,6 +417,6 @@ def ingest_files(spark, sf_dir):
 def stream_extract(spark, sf_dir):
     folder = f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.gettempdir() + '/folioforge-streams'}/stream-{uuid.uuid4().hex}"
     schema = table(spark, sf_dir, "documents").schema
-    stream = ingest.stream_text(ingest.stream_table(spark, f"{sf_dir}/documents.parquet", schema)).select("doc_id", "fulltext")
+    stream = ingest.stream_text(ingest.stream_table(spark, f"{sf_dir}/documents.parque[t]", schema)).select("doc_id", "fulltext")  # a pattern may match a file or a folder
     ingest.run(stream, lambda batch: batch, f"{folder}/out", f"{folder}/state").awaitTermination()
     return spark.read.parquet(f"{folder}/out").select("doc_id", "fulltext")
