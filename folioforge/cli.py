@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from .functions.paths import split_sources
 from .operators import ner
 from .plans import pipeline
-from .schema import STATS
 from .sources import files, links, remote, sinks
 
 META_COLUMNS = "bibcode string, meta_bibcode string, index_date string, ft_source string, meta_mtime long, fulltext_mtime long"
@@ -33,6 +32,12 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def has_stored(spark: SparkSession, folder: str) -> bool:
+    """Whether an earlier run has stored metadata there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/meta/_SUCCESS")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def main(args: Sequence[str] | None = None, spark: SparkSession | None = None) -> int:
     a = parser().parse_args(args)
     spark = spark or SparkSession.builder.appName("folioforge").getOrCreate()
@@ -42,18 +47,20 @@ def main(args: Sequence[str] | None = None, spark: SparkSession | None = None) -
         records = links.read(spark, a.links, a.force_extract, a.force_send)
     records = links.first_records(records, a.limit, F.monotonically_increasing_id())
     if a.entities and not a.force_extract:
-        stored = spark.read.parquet(f"{a.out}/fulltext").join(spark.read.parquet(f"{a.out}/acknowledgements"), "bibcode", "left")
+        stored = files.stored_content(spark, a.out)
         model = ner.gazetteer(n for n in a.names.split(",") if n)
         found = pipeline.entities(records, stored, model, model)
         found.select("bibcode", ner.facility_json().alias("value")).write.mode("overwrite").parquet(f"{a.out}/facility_ner")
         return 0
     remote.enable_pdf(a.service)
     paths = records.select(F.explode(split_sources(F.col("ft_source"))).alias("path"))
-    stats = files.stats(paths) if a.links or a.bibcodes else spark.createDataFrame([], STATS)
-    meta = spark.createDataFrame([], META_COLUMNS)
-    out = pipeline.ingest(records, meta, stats, root=a.out, service=a.service).persist()
-    sinks.write_tables(out, a.out, "overwrite")
-    sinks.send(out, f"{a.out}/messages", "overwrite")
+    before = has_stored(spark, a.out)
+    meta = files.stored_meta(spark, a.out) if before else spark.createDataFrame([], META_COLUMNS)
+    old = paths.unionByName(meta.select(F.explode(split_sources(F.col("ft_source"))).alias("path")))
+    prior = files.stored_content(spark, a.out) if before else None
+    out = pipeline.ingest(records, meta, files.stats(old), prior, root=a.out, service=a.service).persist()
+    sinks.write_tables(out, a.out)
+    sinks.send(out, f"{a.out}/messages")
     return out.where("error is not null").count()
 
 

@@ -82,3 +82,23 @@ def prior_content(meta_rows: DataFrame, texts_by_key: DataFrame) -> DataFrame:
     own = texts_by_key.select(F.col("bibcode").alias("_key"), F.col("fulltext").alias("_text"), F.col("acknowledgements").alias("_ack"))
     out = meta_rows.join(own, meta_rows["bibcode"] == F.col("_key"), "left")
     return out.withColumns({"fulltext": F.coalesce("_text", F.lit("")), "acknowledgements": F.coalesce("acknowledgements", "_ack")}).drop("_key", "_text", "_ack")
+
+
+def latest(rows: DataFrame) -> DataFrame:
+    """Of each bibcode the row with the last index_date."""
+    return rows.groupBy("bibcode").agg(F.max_by(F.struct(*rows.columns), "index_date").alias("r")).select("r.*")
+
+
+def stored_meta(spark: SparkSession, folder: str) -> DataFrame:
+    """What the decision needs of records that ``sinks.write_tables`` has stored; their index_date is their time."""
+    meta_rows = latest(spark.read.parquet(f"{folder}/meta")).select(F.from_json("value", META).alias("m")).select("m.*")
+    text = latest(spark.read.parquet(f"{folder}/fulltext")).select("bibcode", F.unix_timestamp(F.try_to_timestamp("index_date")).alias("fulltext_mtime"))
+    time = F.unix_timestamp(F.try_to_timestamp("index_date")).alias("meta_mtime")
+    return meta_rows.select("bibcode", F.col("bibcode").alias("meta_bibcode"), "index_date", "ft_source", time).join(text, "bibcode", "left")
+
+
+def stored_content(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored records with all their content, for sending again and for entity recognition."""
+    meta_rows = latest(spark.read.parquet(f"{folder}/meta")).select(F.from_json("value", META).alias("m")).select("m.*")
+    texts = latest(spark.read.parquet(f"{folder}/fulltext")).select("bibcode", "fulltext").join(latest(spark.read.parquet(f"{folder}/acknowledgements")).select("bibcode", "acknowledgements"), "bibcode", "full")
+    return prior_content(meta_rows, texts)

@@ -18,12 +18,15 @@ MODE = 0o640
 
 
 def write_tables(records: DataFrame, folder: str, mode: str = "append") -> None:
-    """Texts (not empty), acknowledgements (even empty), metadata and PDF-service texts as tables under folder."""
+    """Texts (not empty), acknowledgements (even empty), metadata and PDF-service texts as tables under folder.
+
+    Runs append; of several rows for a record the latest index_date counts (see ``files.latest``).
+    """
     grobid = F.col("file_format") == "pdf-grobid"
-    records.where(~grobid & (F.coalesce("fulltext", F.lit("")) != "")).select("bibcode", "fulltext").write.mode(mode).parquet(f"{folder}/fulltext")
-    records.where(~grobid & F.col("acknowledgements").isNotNull()).select("bibcode", "acknowledgements").write.mode(mode).parquet(f"{folder}/acknowledgements")
-    records.where(~grobid).select("bibcode", meta_json().alias("value")).write.mode(mode).parquet(f"{folder}/meta")
-    records.where(grobid).select("bibcode", F.col("fulltext").alias("grobid_fulltext")).write.mode(mode).parquet(f"{folder}/grobid_fulltext")
+    records.where(~grobid & (F.coalesce("fulltext", F.lit("")) != "")).select("bibcode", "index_date", "fulltext").write.mode(mode).parquet(f"{folder}/fulltext")
+    records.where(~grobid & F.col("acknowledgements").isNotNull()).select("bibcode", "index_date", "acknowledgements").write.mode(mode).parquet(f"{folder}/acknowledgements")
+    records.where(~grobid).select("bibcode", "index_date", meta_json().alias("value")).write.mode(mode).parquet(f"{folder}/meta")
+    records.where(grobid).select("bibcode", "index_date", F.col("fulltext").alias("grobid_fulltext")).write.mode(mode).parquet(f"{folder}/grobid_fulltext")
 
 
 def unsent(records: DataFrame, artefacts: DataFrame) -> DataFrame:

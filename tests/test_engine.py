@@ -111,6 +111,10 @@ def test_command_line(spark, tmp_path):
     out = str(tmp_path / "o")
     assert cli.main(["-f", str(tmp_path / "links"), "-o", out], spark) == 0
     assert spark.read.parquet(out + "/messages").first()["body"] == "seen at HST"
+    assert cli.main(["-f", str(tmp_path / "links"), "-o", out], spark) == 0
+    assert spark.read.parquet(out + "/messages").count() == 1  # nothing has changed
+    assert cli.main(["-f", str(tmp_path / "links"), "-o", out, "--force-send"], spark) == 0
+    assert [r["body"] for r in spark.read.parquet(out + "/messages").collect()] == ["seen at HST"] * 2
     assert cli.main(["-f", str(tmp_path / "links"), "-o", out, "-ner", "--names", "HST"], spark) == 0
     assert json.loads(spark.read.parquet(out + "/facility_ner").first()["value"]) == {"facility-ft": ["HST"]}
 
