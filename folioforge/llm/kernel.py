@@ -12,7 +12,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+#: texts are taken in slices of about this size, which bounds what the arrays below hold
+SLICE_BYTES = 1 << 19
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)

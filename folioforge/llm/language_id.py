@@ -26,6 +26,8 @@ TRAIN_ROWS = 1500
 BITS = 16
 ORDERS = (2, 3, 4)
 UNKNOWN = "und"
+#: chains of a slice advance together, so that long ones are worth larger slices
+SLICE_BYTES = 2 << 20
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LETTER = np.zeros(256, bool)
@@ -186,7 +188,7 @@ def _label(model):
         for batch in batches:
             langs: list[str] = []
             scores: list[np.ndarray] = []
-            for i, j in pieces(batch.column(1)):
+            for i, j in pieces(batch.column(1), SLICE_BYTES):
                 off, data = text_offsets(batch.column(1).slice(i, j - i))
                 raw = memoryview(data) if data is not None else memoryview(b"")
                 texts = [bytes(raw[s:e]) for s, e in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]

@@ -97,55 +97,49 @@ def _member(h: np.ndarray, row: np.ndarray, wanted: np.ndarray, wanted_row: np.n
 def _cut(text: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n_rows = batch.num_rows
-            n_words, n_removed, spans, kept = [], [], [], []
-            own_marks = batch.column(2)
             for i, j in pieces(batch.column(1)):
-                words = Words(batch.column(1).slice(i, j - i))
-                at, h0 = words.grams(WINDOW, 0)
-                _, h1 = words.grams(WINDOW, 1)
-                own = own_marks.slice(i, j - i)
-                wanted_row = np.repeat(np.arange(j - i), np.diff(own.offsets.to_numpy()))
-                pairs = own.flatten()
-                w0, w1 = (pairs.field(k).to_numpy(zero_copy_only=False).view(np.uint64) for k in range(2))
-                hit = at[_member(h0 ^ (h1 << np.uint64(1)), words.rows[at], w0 ^ (w1 << np.uint64(1)), wanted_row)]
-                change = np.zeros(len(words.starts) + 1, np.int64)
-                np.add.at(change, hit, 1)
-                np.add.at(change, hit + WINDOW, -1)
-                whole = batch.column(3).slice(i, j - i).to_numpy(zero_copy_only=False).astype(bool) & (np.diff(words.first) >= WINDOW)
-                gone = (np.cumsum(change[:-1]) > 0) | whole[words.rows]
-                raw = words.raw.tobytes()
-                for r in range(j - i):
-                    a, b = words.first[r], words.first[r + 1]
-                    lost = gone[a:b]
-                    n_words.append(int(b - a))
-                    n_removed.append(int(lost.sum()))
-                    stay = np.flatnonzero(~lost) + a
-                    if not len(stay):
-                        kept.append(b"")
-                    elif text and len(stay) == b - a:
-                        kept.append(raw[words.offsets[r] : words.offsets[r + 1]])
-                    else:
-                        kept.append(b" ".join([raw[s:e] for s, e in zip(words.starts[stay].tolist(), words.ends[stay].tolist(), strict=True)]))
-                    if not text:
-                        continue
-                    edges = np.flatnonzero(np.diff(np.concatenate(([0], lost.astype(np.int8), [0]))))
-                    spans.append([{"start": int(s), "end": int(e)} for s, e in zip(edges[::2], edges[1::2], strict=True)])
-            out = [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())]
-            names = [batch.schema.names[0], "n_words", "n_removed"]
-            out.append(pa.array([hashlib.sha256(x if not text else b" ".join(x.split())).hexdigest() for x in kept]))
-            names.append("kept_sha256")
-            if text:
-                out.append(pa.array([x.decode() for x in kept], pa.string()))
-                names.append("kept_text")
-                out.append(pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))))
-                names.append("spans")
-            assert len(n_words) == n_rows
-            yield pa.RecordBatch.from_arrays(out, names)
+                yield _cut_piece(batch.slice(i, j - i), text)
 
     return run
 
 
+def _cut_piece(batch: pa.RecordBatch, text: bool) -> pa.RecordBatch:
+    words = Words(batch.column(1))
+    at, h0 = words.grams(WINDOW, 0)
+    _, h1 = words.grams(WINDOW, 1)
+    marks = batch.column(2)
+    wanted_row = np.repeat(np.arange(batch.num_rows), np.diff(marks.offsets.to_numpy()))
+    pairs = marks.flatten()
+    w0, w1 = (pairs.field(k).to_numpy(zero_copy_only=False).view(np.uint64) for k in range(2))
+    hit = at[_member(h0 ^ (h1 << np.uint64(1)), words.rows[at], w0 ^ (w1 << np.uint64(1)), wanted_row)]
+    change = np.zeros(len(words.starts) + 1, np.int64)
+    np.add.at(change, hit, 1)
+    np.add.at(change, hit + WINDOW, -1)
+    sizes = np.diff(words.first)
+    whole = batch.column(3).to_numpy(zero_copy_only=False).astype(bool) & (sizes >= WINDOW)
+    gone = (np.cumsum(change[:-1]) > 0) | whole[words.rows]
+    raw = words.raw.tobytes()
+    digests, kept, spans, n_removed = [], [], [], []
+    for r in range(batch.num_rows):
+        a, b = words.first[r], words.first[r + 1]
+        lost = gone[a:b]
+        n_removed.append(int(lost.sum()))
+        stay = np.flatnonzero(~lost) + a
+        left = b" ".join([raw[s:e] for s, e in zip(words.starts[stay].tolist(), words.ends[stay].tolist(), strict=True)])
+        digests.append(hashlib.sha256(left).hexdigest())
+        if text:
+            untouched = len(stay) == b - a
+            kept.append((raw[words.offsets[r] : words.offsets[r + 1]] if untouched else left).decode())
+            edges = np.flatnonzero(np.diff(np.concatenate(([0], lost.astype(np.int8), [0]))))
+            spans.append([{"start": int(s), "end": int(e)} for s, e in zip(edges[::2], edges[1::2], strict=True)])
+    out = [batch.column(0), pa.array(sizes), pa.array(n_removed, pa.int64()), pa.array(digests, pa.string())]
+    names = [batch.schema.names[0], "n_words", "n_removed", "kept_sha256"]
+    if text:
+        out += [pa.array(kept, pa.string()), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))]
+        names += ["kept_text", "spans"]
+    return pa.RecordBatch.from_arrays(out, names)
+
+
 def repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     """Words of each text without those in a 13-word window that starts in a smaller doc_id too.
 
