@@ -79,7 +79,7 @@ def utf8_decode(spark, sf_dir):
     return docs.select("doc_id", textclean.trim_words(textclean.decode_utf8(raw)).alias("fulltext"))
 
 
-_DECODED = r"regexp_replace(replace(replace(replace(html, '&quot;', ''''), '&copy;', chr(169)), '&middot;', chr(183)), '&(#\d+|#x[0-9a-fA-F]+|\w+);', '', 'g')"
+_DECODED = r"regexp_replace(replace(replace(replace(html, '&quot;', ''''), '&copy;', chr(169)), '&middot;', chr(183)), '&(#x[\da-fA-F]+|#\d+|\w+);', '', 'g')"
 
 
 @query(f"SELECT page_id, {_DECODED} AS decoded FROM pages")
@@ -155,10 +155,14 @@ def html_table_inline(spark, sf_dir):
     return docs.select("doc_id", extract.html_with_tables(main, F.array(F.lit("table1.html")), F.array(linked)).alias("fulltext"))
 
 
+#: up to the value of the link
+_NAMED = '<named-content content-type="{}" xlink:href="'
+
+
 def _article(close: str = "</article>"):
     return F.concat(
-        F.lit("<article><body><sec><p>"), _plain(), F.lit(' <inline-formula>f</inline-formula>kept</p><table><tr><td>t</td></tr></table></sec><named-content content-type="dataset" xlink:href="ADS/'),
-        F.col("doc_id").cast("string"), F.lit('"/><ack>moved</ack></body><back><ack><p>Thanks '), "source", F.lit('</p><named-content content-type="facility" xlink:href="F'),
+        F.lit("<article><body><sec><p>"), _plain(), F.lit(" <inline-formula>f</inline-formula>kept</p><table><tr><td>t</td></tr></table></sec>"), F.lit(_NAMED.format("dataset")), F.lit("SET/"),
+        F.col("doc_id").cast("string"), F.lit('"/><ack>moved</ack></body><back><ack><p>Thanks '), "source", F.lit("</p>"), F.lit(_NAMED.format("facility")), F.lit("F"),
         F.col("doc_id").cast("string"), F.lit('"/><named-content content-type="facility"/></ack></back>' + close),
     )
 
@@ -177,7 +181,7 @@ def xml_acknowledgements(spark, sf_dir):
     return _fields(spark, sf_dir).select("doc_id", "x.acknowledgements")
 
 
-@query("SELECT doc_id, 'ADS/' || doc_id AS dataset, 'F' || doc_id AS facility FROM documents WHERE text IS NOT NULL")
+@query("SELECT doc_id, 'SET/' || doc_id AS dataset, 'F' || doc_id AS facility FROM documents WHERE text IS NOT NULL")
 def xml_links(spark, sf_dir):
     return _fields(spark, sf_dir).select("doc_id", F.array_join("x.dataset", ",").alias("dataset"), F.array_join("x.facility", ",").alias("facility"))
 
@@ -191,7 +195,7 @@ def elsevier_extract(spark, sf_dir):
 
 @query(f"SELECT doc_id, {words_sql(_PLAIN)} AS fulltext, concat('by ', source) AS acknowledgements FROM documents WHERE text IS NOT NULL")
 def tei_extract(spark, sf_dir):
-    raw = F.concat(F.lit('<TEI xmlns="http://www.tei-c.org/ns/1.0"><text><body>'), _plain(), F.lit('</body><back><div type="acknowledgement">by '), "source", F.lit("</div></back></text></TEI>"))
+    raw = F.concat(F.lit('<TEI xmlns="urn:tei"><text><body>'), _plain(), F.lit('</body><back><div type="acknowledgement">by '), "source", F.lit("</div></back></text></TEI>"))
     docs = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", extract.tei_extract(raw).alias("x"))
     return docs.select("doc_id", "x.fulltext", "x.acknowledgements")
 
@@ -388,7 +392,7 @@ def count_by_provider(spark, sf_dir):
     return assemble.counts(table(spark, sf_dir, "documents"), "source")
 
 
-@query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS index_date, strftime(ts, '%a, %d %b %Y %H:%M:%S UTC') AS http_date, ts = ts AS parsed FROM events")
+@query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS index_date, strftime(ts, '%a, ') || strftime(ts, '%d %b %Y ') || strftime(ts, '%H:%M:%S UTC') AS http_date, ts = ts AS parsed FROM events")
 def date_functions(spark, sf_dir):
     ts = F.col("ts").cast("timestamp")
     iso = paths.index_date(ts)

@@ -7,13 +7,13 @@ from folioforge.operators import ner
 from folioforge.operators.tree import parse, select
 from folioforge.sources import remote
 
-ARTICLE = """<?xml version="1.0" encoding="iso-8859-1"?><!DOCTYPE article>
+ARTICLE = """<?xml encoding="iso-8859-1"?><!DOCTYPE article>
 <article><front><title>T</title></front><!-- body <body><sec><title>I. INTRO</title><p>TEXT <inline-formula>f</inline-formula> TAIL <italic>end</italic>.
 &angst; &amp; &gt; <!-- gone --> <![CDATA[gone]]> <?pi gone > ?></p>
 <table-wrap><label>TABLE I.</label><table><tr><td>cell</td></tr></table><graphic xlink:href="g"/> NOTES</table-wrap></sec>
-<named-content content-type="dataset" xlink:href="D/1"/><named-content content-type="dataset" xlink:href="D/2"/>
+<named-content xlink:href="D/1" content-type="dataset"/><named-content xlink:href="D/2" content-type="dataset"/>
 <ack>ACK INSIDE</ack></body> endbody -->
-<back><ack><title>Thanks</title><p>ALL.</p><named-content content-type="facility">n</named-content><named-content content-type="facility" xlink:href=""/><named-content content-type="facility" xlink:href="F3"/></ack>
+<back id="z"><ack><title>Thanks</title><p>ALL.</p><named-content content-type="facility">n</named-content><named-content xlink:href="" content-type="facility"/><named-content xlink:href="F3" content-type="facility"/></ack>
 <app-group><p>APPENDIX</p></app-group><ref-list>refs</ref-list></back></article>"""
 
 
@@ -66,8 +66,8 @@ def test_summary():
 
 
 def test_xpath():
-    root = parse('<a><b id="s1"><c><p>1</p></c></b><p k="v">2 Abstract</p></a>')
-    assert [n.content() for n in select(root, 'a//b[@id="s1"]//p')] == ["1"]
+    root = parse('<a><b key="k1"><c><p>1</p></c></b><p k="v">2 Abstract</p></a>')
+    assert [n.content() for n in select(root, 'a//b[@key="k1"]//p')] == ["1"]
     assert [n.content() for n in select(root, '//p[contains(., "Abstract") and not(@k="w")] | //c')] == ["1", "2 Abstract"]
     assert [n.tag for n in select(root, '//*[local-name()="c"]')] == ["c"]
 
