@@ -5,8 +5,13 @@ Each text is cut in non-overlapping reference blocks of ``BLOCK`` = 7 words; wha
 with the least doc_id that has them, and probed with every rolling window of 7 words of
 all texts. Only texts with hits go on: hits are extended to the 13-word windows around
 them, those are compared by 128-bit hashes, and touching windows make up maximal exact
-repeats. Rows that meet in a join are (hash, doc_id) pairs, one for each distinct window of a text;
-hot blocks are split by AQE, as nothing needs the rows of a block together.
+repeats. A text whole that a smaller doc_id has too is one repeat; such copies are told by
+their digests, so that groups of them bring no windows of their own.
+
+Rows that meet in a join are (hash, doc_id) pairs, one for each distinct window of a text. The
+``HOT_BLOCKS`` blocks that most texts hold are sent to the probes, whose rows so don't meet
+in one task; the joins on digests and windows have plain exchanges on both sides, and AQE
+splits what is hot there.
 """
 
 from __future__ import annotations
@@ -24,6 +29,9 @@ from .kernel import Words, pieces, signed
 
 WINDOW = 13
 BLOCK = (WINDOW + 1) // 2
+#: blocks broadcast at most, and the texts that must hold one
+HOT_BLOCKS = 20_000
+HOT_TEXTS = 1_000
 #: stands for a null doc_id, which counts as larger than any other
 LAST = (1 << 63) - 1
 
@@ -169,16 +177,20 @@ def _judged(docs: DataFrame, carried, with_text: bool) -> DataFrame:
     name = texts.columns[2]
     plain = texts.select("d", "text")
     digest = texts.select("d", F.unhex(F.md5("text")).alias("digest"))
-    same = digest.groupBy("digest").agg(F.min("d").alias("least"), F.max("d").alias("most")).where("most > least").select("digest", "least")
+    same = stored(digest.groupBy("digest").agg(F.min("d").alias("least"), F.max("d").alias("most")).where("most > least").select("digest", "least"))
     later = digest.join(same, "digest").groupBy("d").agg(F.min(F.col("d") > F.col("least")).alias("copied"), F.count("*").alias("n"))
     # of several rows under one doc_id, all must be copies
     copies = stored(later.where("copied").join(texts.groupBy("d").agg(F.count("*").alias("of")), "d").where("n = of").select("d"))
-    blocks = plain.mapInArrow(_grams(True), "h long, d long").groupBy("h").agg(F.min("d").alias("least"))
-    hits = plain.mapInArrow(_grams(False), "h long, d long").join(blocks, "h").where("d > least").join(copies, "d", "left_anti")
+    blocks = plain.mapInArrow(_grams(True), "h long, d long").groupBy("h").agg(F.min("d").alias("least"), F.count("*").alias("n"))
+    hot = stored(blocks.where(F.col("n") >= HOT_TEXTS).orderBy(F.desc("n"), "h").limit(HOT_BLOCKS).select("h", F.col("least").alias("hot")))
+    probes = plain.mapInArrow(_grams(False), "h long, d long").join(F.broadcast(hot), "h", "left")
+    common = probes.where("d > hot").select("h", "d", F.col("hot").alias("least"))
+    rare = probes.where("hot is null").select("h", "d").join(blocks.select("h", "least"), "h").where("d > least")
+    hits = common.unionByName(rare).join(copies, "d", "left_anti")
     # a text with a hit, and the first text that holds the block, are both looked at closer
     flagged = stored(hits.select("h", F.explode(F.array("d", "least")).alias("d")).groupBy("d").agg(F.collect_set("h").alias("flags")))
     near = plain.join(flagged, "d").select("d", "text", "flags").mapInArrow(_candidates, "h0 long, h1 long, d long")
-    least = near.groupBy("h0", "h1").agg(F.min("d").alias("least"), F.max("d").alias("most")).where("most > least").select("h0", "h1", "least")
+    least = stored(near.groupBy("h0", "h1").agg(F.min("d").alias("least"), F.max("d").alias("most")).where("most > least").select("h0", "h1", "least"))
     marks = stored(near.join(least, ["h0", "h1"]).where("d > least").groupBy("d").agg(F.collect_set(F.struct("h0", "h1")).alias("marks")))
     none = F.array().cast("array<struct<h0:long,h1:long>>")
     gone = marks.select("d", "marks", F.lit(False).alias("whole")).unionByName(copies.select("d", none.alias("marks"), F.lit(True).alias("whole")))

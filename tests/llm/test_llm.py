@@ -123,7 +123,9 @@ def test_simhash_links_are_whole(spark):
     assert roots(got) == roots([(a, b) for a in values for b in values if (a ^ b).bit_count() <= 4])
 
 
-def test_substring_dedup(spark, corpus):
+@pytest.mark.parametrize("hot", [1000, 2])
+def test_substring_dedup(spark, corpus, monkeypatch, hot):
+    monkeypatch.setattr(substring_dedup, "HOT_TEXTS", hot)
     first = {}
     order = lambda i: 1 << 62 if i is None else i
     for i, t in corpus:
