@@ -6,8 +6,9 @@ large inner products, costs ``ETA`` times the part across it. A query scans tabl
 entries per code (two codes, a byte, at a time); what may be among its nearest by the scan and
 the error that quantisation has shown is reranked exactly in double precision.
 
-Codes and queries travel as packed blocks: a task holds one block of codes and passes the
-queries through it by blocks, and only the best of each query leave it.
+Codes and queries travel as packed blocks. A cell is a block of queries and up to ``CELL_BLOCKS``
+blocks of codes, which pass it one by one; the exact scores found so far narrow what the next
+block has to rerank, and only the best of each query leave the cell.
 """
 
 from __future__ import annotations
@@ -19,11 +20,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import partitions
+
 #: vectors that codebooks are fitted on, at most about
 TRAIN_ROWS = 20_000
 ETA = 4.0
+#: queries in a block at most about, and at least where tasks are idle otherwise
 QUERY_BLOCK = 2048
+LEAST_QUERIES = 256
 CODE_BLOCK = 4096
+CELL_BLOCKS = 64
 CODES = 16
 
 
@@ -125,15 +131,15 @@ def _row(names: list[str], block: int, *arrays: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *(pa.array([a.tobytes()], pa.binary()) for a in arrays)], names)
 
 
-def _pack(books):
-    """A row of ids, codes, vectors and the sizes of residuals for each block."""
+def _pack(books, wide: str):
+    """A row of ids, codes, vectors (in their own type) and the sizes of residuals for each block."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c, ids, x in _blocks(batches, CODE_BLOCK):
             codes = encode(x, books)
-            wide = np.pad(x, ((0, 0), (0, 2 * len(books) - x.shape[1])))
-            error = np.linalg.norm(wide - decode(codes, books), axis=1)
-            yield _row(["c", "ids", "codes", "vectors", "errors"], c, ids, codes, x, error)
+            padded = np.pad(x, ((0, 0), (0, 2 * len(books) - x.shape[1])))
+            error = np.linalg.norm(padded - decode(codes, books), axis=1)
+            yield _row(["c", "ids", "codes", "vectors", "errors"], c, ids, codes, x.astype(wide), error.astype(np.float32))
 
     return run
 
@@ -143,32 +149,59 @@ def _pack_queries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield _row(["b", "qid", "q"], b, ids, x)
 
 
-def _search(books, dim: int, k: int):
+class _Best:
+    """The k best of each query of a block so far, as the code blocks go by."""
+
+    def __init__(self, qid: np.ndarray, q: np.ndarray, k: int):
+        self.qid, self.q, self.k = qid, q, k
+        self.score = np.full((len(qid), k), -np.inf)
+        self.ids = np.zeros((len(qid), k), np.int64)
+        # residuals lie in no direction of their own, so the spread of errors in the score
+        # is |q| |residual| / sqrt(dim); three times that is kept on either side
+        self.spread = (3 * np.linalg.norm(q, axis=1) / np.sqrt(max(1, q.shape[1]))).astype(np.float32)
+
+    def take(self, books: np.ndarray, ids: np.ndarray, codes: np.ndarray, x: np.ndarray, errors: np.ndarray) -> None:
+        """Scan a block of codes and rerank what may be among a query's best, by exact scores so far and the block's own."""
+        k, most = self.k, float(errors.max(initial=0.0))
+        for i in range(0, len(self.qid), 128):
+            near = scan(codes, tables(self.q[i : i + 128], books)).T
+            for j, a in enumerate(near, i):
+                v, worst = self.q[j], self.score[j, -1]
+                at = np.flatnonzero(a >= worst - self.spread[j] * most)  # no residual reaches further
+                if not len(at):
+                    continue
+                a, slack = a[at], self.spread[j] * errors[at]
+                floor = np.partition(a - slack, -k - 1)[-k - 1] if len(a) > k + 1 else -np.inf
+                at = at[a + slack >= max(floor, worst)]
+                at = at[ids[at] != self.qid[j]]
+                score = np.concatenate([self.score[j], (x[at].astype(np.float64) * v).sum(axis=1)])
+                own = np.concatenate([self.ids[j], ids[at]])
+                best = np.lexsort((own, -score))[:k]
+                self.score[j], self.ids[j] = score[best], own[best]
+
+    def rows(self) -> pa.RecordBatch:
+        found = self.score > -np.inf
+        qid = np.repeat(self.qid, found.sum(axis=1))
+        return pa.RecordBatch.from_arrays([pa.array(qid), pa.array(self.ids[found]), pa.array(self.score[found])], ["query_id", "vec_id", "score"])
+
+
+def _search(books, dim: int, k: int, wide: str):
+    """A query block stays while the code blocks of its cell pass; its k best leave at the end."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, best = None, None
         for batch in batches:
             for r in range(batch.num_rows):
-                qid, q, ids, codes, x, errors = (batch.column(c)[r].as_py() for c in range(6))
-                qid, ids = np.frombuffer(qid, np.int64), np.frombuffer(ids, np.int64)
-                q, x = np.frombuffer(q).reshape(len(qid), dim), np.frombuffer(x).reshape(len(ids), dim)
-                codes, errors = np.frombuffer(codes, np.uint8).reshape(len(ids), -1), np.frombuffer(errors)
-                out: tuple[list, list, list] = ([], [], [])
-                for i in range(0, len(qid), 128):
-                    near = scan(codes, tables(q[i : i + 128], books)).T
-                    for j in range(len(near)):
-                        a, v = near[j], q[i + j]
-                        # residuals lie in no direction of their own, so the spread of errors in
-                        # the score is |v| |residual| / sqrt(dim); twice that is kept on either side
-                        slack = np.float32(2 * np.linalg.norm(v) / np.sqrt(dim)) * errors
-                        floor = np.partition(a - slack, -k - 1)[-k - 1] if len(a) > k + 1 else -np.inf
-                        pick = np.flatnonzero(a + slack >= floor)
-                        pick = pick[ids[pick] != qid[i + j]]
-                        score = (x[pick] * v).sum(axis=1)
-                        best = np.lexsort((ids[pick], -score))[:k]
-                        out[0].append(np.full(len(best), qid[i + j]))
-                        out[1].append(ids[pick][best])
-                        out[2].append(score[best])
-                both = [np.concatenate(c) if c else np.zeros(0) for c in out]
-                yield pa.RecordBatch.from_arrays([pa.array(both[0].astype(np.int64)), pa.array(both[1].astype(np.int64)), pa.array(both[2].astype(np.float64))], ["query_id", "vec_id", "score"])
+                now = (batch.column(0)[r].as_py(), batch.column(1)[r].as_py())
+                if now != cell:
+                    if best is not None:
+                        yield best.rows()
+                    qid, q = (np.frombuffer(batch.column(c)[r].as_py(), t) for c, t in ((2, np.int64), (3, np.float64)))
+                    cell, best = now, _Best(qid, q.reshape(len(qid), dim), k)
+                ids, codes, x, errors = (np.frombuffer(batch.column(4 + c)[r].as_py(), t) for c, t in enumerate((np.int64, np.uint8, wide, np.float32)))
+                best.take(books, ids, codes.reshape(len(ids), -1), x.reshape(len(ids), dim), errors)
+        if best is not None:
+            yield best.rows()
 
     return run
 
@@ -203,6 +236,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, train_rows: int
     of rows that repeat an id all take part as candidates and queries. No rows: an empty result.
     """
     spark = vectors.sparkSession
+    wide = "f4" if vectors.schema[vec].dataType.simpleString() == "array<float>" else "f8"
     own = usable(vectors.where("vec_id is not null"), vec).select(F.col("vec_id").cast("long").alias("vec_id"), F.col(vec).cast("array<double>").alias("v"))
     asked = usable(queries.where("vec_id is not null"), vec).select(F.col("vec_id").cast("long").alias("vec_id"), F.col(vec).cast("array<double>").alias("v"))
     out = []
@@ -215,12 +249,16 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, train_rows: int
         picked = picked.sort_values("vec_id")
         books = fit(np.array(picked["v"].tolist()))
         asks = asked.where(F.size("v") == dim)
-        # a grid: query blocks pass code blocks, both dealt by hash of the id
-        q_blocks, c_blocks = max(1, -(-asks.count() // QUERY_BLOCK)), max(1, -(-n // CODE_BLOCK))
-        coded = mine.select(_block(c_blocks).alias("c"), "vec_id", "v").repartition("c").mapInArrow(_pack(books), "c long, ids binary, codes binary, vectors binary, errors binary")
+        # a grid of cells, rows and columns dealt by hash of the id
+        asking, n_cells = asks.count(), -(-n // (CODE_BLOCK * CELL_BLOCKS))
+        q_blocks = max(1, -(-asking // QUERY_BLOCK), min(partitions(spark) // n_cells, -(-asking // LEAST_QUERIES)))
+        c_blocks = max(1, -(-n // CODE_BLOCK))
+        coded = mine.select(_block(c_blocks).alias("c"), "vec_id", "v").repartition("c").mapInArrow(_pack(books, wide), "c long, ids binary, codes binary, vectors binary, errors binary")
         packs = asks.select(_block(q_blocks).alias("b"), "vec_id", "v").repartition("b").mapInArrow(_pack_queries, "b long, qid binary, q binary")
-        pairs = packs.withColumn("c", _every(c_blocks)).join(coded.withColumn("b", _every(q_blocks)), ["b", "c"]).drop("b", "c")
-        out.append(pairs.mapInArrow(_search(books, dim, k), "query_id long, vec_id long, score double"))
+        cell = F.pmod("c", F.lit(n_cells)).alias("s")
+        # merged, so that the rows of a cell come one after the other
+        pairs = packs.withColumn("s", _every(n_cells)).hint("merge").join(coded.select(cell, "ids", "codes", "vectors", "errors").withColumn("b", _every(q_blocks)), ["b", "s"])
+        out.append(pairs.select("b", "s", "qid", "q", "ids", "codes", "vectors", "errors").mapInArrow(_search(books, dim, k, wide), "query_id long, vec_id long, score double"))
     if not out:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     found = out[0]
