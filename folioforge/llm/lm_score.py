@@ -9,7 +9,8 @@ sum of the conditional log-probabilities of all its words.
 Counts cover every word of every document, and so does training: each task of a round
 runs gradient steps over its documents, masking a hashed share of their words, and the
 weights are averaged by the number of words. What travels grows with the corpus; what
-the driver holds doesn't: the averaged weights, the frequent words, and counts of 2**18 hash buckets.
+the driver holds doesn't: the averaged weights and the counts of the ``KNOWN`` most frequent words.
+Counts of all other words stay in a table, which the rare words of the documents are joined to.
 """
 
 from __future__ import annotations
@@ -28,7 +29,8 @@ CLASSES = 128
 SUFFIXES = 64
 WIDTH = 8
 HIDDEN = 24
-BUCKETS = 18
+#: words whose counts are broadcast; a word beyond them is at most one in KNOWN, so the join has no hot keys
+KNOWN = 1 << 16
 ROUNDS = 2
 MASKED = 0.1
 _PLACES = (-2, -1, 1, 2)
@@ -36,25 +38,31 @@ _CHUNK = 1 << 15
 
 
 class Vocabulary:
-    def __init__(self, frequent: list[tuple[int, int]], buckets: np.ndarray, types: np.ndarray, suffix_words: np.ndarray):
-        h = np.array([x[0] for x in frequent], np.int64).view(np.uint64)
+    """The frequent words of a corpus with their counts; ``counts`` is the table of all (h, n), which isn't sent."""
+
+    def __init__(self, known: list[tuple[int, int]], suffix_words: np.ndarray, counts: DataFrame | None = None):
+        h = np.array([x[0] for x in known], np.int64).view(np.uint64)
         order = np.argsort(h)
-        self.h, self.n = h[order], np.array([x[1] for x in frequent], float)[order]
-        self.average = np.maximum(buckets, 1) / np.maximum(types, 1)
+        self.h, self.n = h[order], np.array([x[1] for x in known], float)[order]
+        frequent = np.sort(h[: CLASSES - SUFFIXES])
+        self.kinds = np.where(np.isin(self.h, frequent), SUFFIXES + np.searchsorted(frequent, self.h), -1)
         self.suffix_words = np.maximum(suffix_words, 1.0)
+        self.counts = counts
+
+    def __getstate__(self):
+        return {**self.__dict__, "counts": None}
 
-    def classes(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """Class of each word, and log P(word | class)."""
+    def classes(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Class of each word, log P(word | class), and whether that lacks log(count) as the word isn't known here."""
         h = words.hashes()
-        kinds = SUFFIXES + np.arange(len(self.h))
         suffix = suffix_of(words)
-        count = self.average[(h >> np.uint64(64 - BUCKETS)).astype(np.int64)]
-        within = np.log(np.minimum(count / self.suffix_words[suffix], 1.0))
-        if len(self.h):
-            at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
-            own = self.h[at] == h
-            return np.where(own, kinds[at], suffix), np.where(own, 0.0, within)
-        return suffix, within
+        if not len(self.h):
+            return suffix, -np.log(self.suffix_words[suffix]), np.ones(len(h), bool)
+        at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
+        rare = self.h[at] != h
+        own = ~rare & (self.kinds[at] >= 0)
+        within = np.log(np.where(rare, 1.0, self.n[at]) / self.suffix_words[suffix])
+        return np.where(own, self.kinds[at], suffix), np.where(own, 0.0, within), rare
 
 
 def suffix_of(words: Words) -> np.ndarray:
@@ -128,19 +136,17 @@ def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def vocabulary(docs: DataFrame) -> Vocabulary:
-    """Word counts over all documents, folded to what the driver can hold at any size."""
+    """Exact word counts over all documents: a table, of which the driver holds the most frequent ``KNOWN``."""
     counts = stored(docs.select(F.col("text").cast("string")).mapInArrow(_counts, "h long, suffix long, n long").groupBy("h").agg(F.min("suffix").alias("suffix"), F.sum("n").alias("n")))
-    frequent = counts.orderBy(F.desc("n"), "h").limit(CLASSES - SUFFIXES).select("h", "n", "suffix").collect()
-    bucket = F.shiftrightunsigned("h", 64 - BUCKETS).cast("int").alias("b")
-    table = counts.groupBy(bucket).agg(F.sum("n").alias("n"), F.count("*").alias("types")).toPandas()
-    n, types = np.zeros(1 << BUCKETS), np.zeros(1 << BUCKETS)
-    n[table["b"].to_numpy(np.int64)], types[table["b"].to_numpy(np.int64)] = table["n"], table["types"]
+    # by way of a table, as a collected limit would send the driver KNOWN rows of each partition
+    known = stored(counts.orderBy(F.desc("n"), "h").limit(KNOWN).select("h", "n", "suffix")).collect()
+    known.sort(key=lambda r: (-r[1], r[0]))
     words = np.zeros(SUFFIXES)
     for s, k in counts.groupBy("suffix").agg(F.sum("n")).collect():
         words[s] = k
-    for _, k, s in frequent:
+    for _, k, s in known[: CLASSES - SUFFIXES]:
         words[s] -= k
-    return Vocabulary([(r[0], r[1]) for r in frequent], n, types, words)
+    return Vocabulary([(r[0], r[1]) for r in known], words, counts.select("h", "n"))
 
 
 def _train(state, turn: int):
@@ -153,7 +159,7 @@ def _train(state, turn: int):
             for _, _, words in _lowered(batch.column(0)):
                 if not len(words.starts):
                     continue
-                c, _ = vocabulary.classes(words)
+                c, _, _ = vocabulary.classes(words)
                 x = windows(c, words.rows)
                 draw = mix(words.hashes() + np.arange(len(c), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(turn))
                 masked = np.flatnonzero(draw < np.uint64(int(MASKED * 2**64)))
@@ -172,7 +178,7 @@ def train(docs: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> list[np.n
     spark = docs.sparkSession
     w = initial()
     for turn in range(rounds):
-        sent = spark.sparkContext.broadcast((known, w))  # of a size fixed by CLASSES and BUCKETS
+        sent = spark.sparkContext.broadcast((known, w))  # of a size fixed by CLASSES and KNOWN
         parts = docs.select(F.col("text").cast("string")).mapInArrow(_train(sent, turn), "i long, v double, n long")
         flat = dict(parts.groupBy("i").agg(F.sum("v") / F.sum("n")).collect())
         if not flat:
@@ -186,21 +192,22 @@ def train(docs: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> list[np.n
 
 
 def _score(state):
+    """Sums that lack log(count) of the words in ``rare``, which has a hash for each of them."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, w = state.value
         for batch in batches:
-            total, n = [], []
             for i, j, words in _lowered(batch.column(1)):
-                c, within = vocabulary.classes(words)
+                c, within, rare = vocabulary.classes(words)
                 x = windows(c, words.rows)
                 each = [log_p(w, x[a : a + _CHUNK], c[a : a + _CHUNK]) for a in range(0, len(c), _CHUNK)]
                 p = np.concatenate(each) + within if each else np.zeros(0)
-                total.append(np.bincount(words.rows, p, j - i))
-                n.append(np.bincount(words.rows, minlength=j - i))
-            total, n = (np.concatenate(v) if v else np.zeros(0) for v in (total, n))
-            mean = np.divide(total, n, out=np.full(len(n), np.nan), where=n > 0)
-            cols = [batch.column(0), pa.array(n.astype(np.int64)), pa.array(total.astype(float)), pa.array(mean, mask=n == 0)]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"])
+                total = np.bincount(words.rows, p, j - i).astype(float)
+                n = np.bincount(words.rows, minlength=j - i)
+                ends = np.concatenate(([0], np.cumsum(np.bincount(words.rows[rare], minlength=j - i))))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(signed(words.hashes()[rare])))
+                cols = [batch.column(0).slice(i, j - i), pa.array(n.astype(np.int64)), pa.array(total), lists]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_words", "total", "rare"])
 
     return run
 
@@ -208,12 +215,20 @@ def _score(state):
 def scored(docs: DataFrame, known: Vocabulary, w: list[np.ndarray]) -> DataFrame:
     """(doc_id, n_words, log_likelihood, mean_log_likelihood) for each row.
 
-    Null and blank texts: no words, sum 0, mean null. Repeated rows give repeated rows; a null doc_id is kept;
-    other columns are ignored; no documents: an empty result.
+    Words that the vocabulary hasn't counted go as counted once. Null and blank texts: no words, sum 0, mean null.
+    Repeated rows give repeated rows; a null doc_id is kept; other columns are ignored; no documents: an empty result.
     """
     sent = docs.sparkSession.sparkContext.broadcast((known, w))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return own.mapInArrow(_score(sent), "doc_id long, n_words long, log_likelihood double, mean_log_likelihood double")
+    parts = own.mapInArrow(_score(sent), "doc_id long, n_words long, total double, rare array<long>")
+    # written once, so that the row numbers stand
+    parts = stored(parts.withColumn("row", F.monotonically_increasing_id()))
+    met = parts.select("row", F.explode("rare").alias("h")).join(known.counts, "h")
+    lacking = met.groupBy("row").agg(F.sum(F.log(F.col("n").cast("double"))).alias("lacking"))
+    both = parts.select("row", "doc_id", "n_words", "total").join(lacking, "row", "left")
+    total = F.col("total") + F.coalesce("lacking", F.lit(0.0))
+    mean = F.when(F.col("n_words") > 0, total / F.col("n_words"))
+    return both.select("doc_id", "n_words", total.alias("log_likelihood"), mean.alias("mean_log_likelihood"))
 
 
 def score(docs: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 import hashlib
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -416,6 +416,31 @@ def test_lm(spark):
     assert lm_score.score(docs.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("known_words", [1 << 16, 100])
+def test_lm_counts_are_exact(spark, monkeypatch, known_words):
+    monkeypatch.setattr(lm_score, "KNOWN", known_words, raising=False)
+    rng = random.Random(12)
+    rows = [(i, " ".join(f"w{int(3000 * rng.random() ** 2)}" for _ in range(80))) for i in range(150)] + [(3, "W1 w1 w2999"), (None, "w7 w8")]
+    docs = docs_table(spark, rows)
+    known = lm_score.vocabulary(docs)
+    w = lm_score.initial()
+    n = Counter(x for _, t in rows for x in t.lower().split())
+    column = pa.array(list(n))
+    kinds = dict(zip(n, known.classes(Words(column))[0].tolist(), strict=True))
+    of_class = Counter()
+    for x, k in n.items():
+        of_class[kinds[x]] += k
+    want = []
+    for i, t in rows:
+        ws = t.lower().split()
+        c = np.array([kinds[x] for x in ws])
+        net = lm_score.log_p(w, lm_score.windows(c, np.zeros(len(c), int)), c).sum()
+        want.append((-1 if i is None else i, len(ws), net + sum(np.log(n[x] / of_class[kinds[x]]) for x in ws)))
+    got = sorted((-1 if r[0] is None else r[0], r[1], r[2]) for r in lm_score.scored(docs, known, w).collect())
+    for (a, b, x), (i, k, y) in zip(got, sorted(want), strict=True):
+        assert (a, b) == (i, k) and x == pytest.approx(y, rel=1e-4)
+
+
 def test_lm_gradient():
     rng = np.random.default_rng(2)
     w = [x.astype(float) for x in lm_score.initial()]
