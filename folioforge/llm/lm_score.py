@@ -7,7 +7,8 @@ gives the class; corpus counts give the word within its class. A document's scor
 sum of the conditional log-probabilities of all its words.
 
 Counts cover every word of every document, and so does training: each task of a round
-runs gradient steps over its documents, masking a hashed share of their words, and the
+runs gradient steps over its documents, masking a hashed share of their words (the rounds
+together mask each word once), and the
 weights are averaged by the number of words. What travels grows with the corpus; what
 the driver holds doesn't: the averaged weights and the counts of the ``KNOWN`` most frequent words.
 Counts of all other words stay in a table, which the rare words of the documents are joined to.
@@ -32,7 +33,6 @@ HIDDEN = 24
 #: words whose counts are broadcast; a word beyond them is at most one in KNOWN, so the join has no hot keys
 KNOWN = 1 << 16
 ROUNDS = 2
-MASKED = 0.1
 _PLACES = (-2, -1, 1, 2)
 _CHUNK = 1 << 15
 
@@ -149,7 +149,7 @@ def vocabulary(docs: DataFrame) -> Vocabulary:
     return Vocabulary([(r[0], r[1]) for r in known], words, counts.select("h", "n"))
 
 
-def _train(state, turn: int):
+def _train(state, turn: int, rounds: int = ROUNDS):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, start = state.value
         w = [x.copy() for x in start]
@@ -161,8 +161,8 @@ def _train(state, turn: int):
                     continue
                 c, _, _ = vocabulary.classes(words)
                 x = windows(c, words.rows)
-                draw = mix(words.hashes() + np.arange(len(c), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(turn))
-                masked = np.flatnonzero(draw < np.uint64(int(MASKED * 2**64)))
+                draw = mix(words.hashes() + np.arange(len(c), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+                masked = np.flatnonzero(draw % np.uint64(rounds) == np.uint64(turn))
                 for i in range(0, len(masked), 1024):
                     m = masked[i : i + 1024]
                     descend(w, sq, x[m], c[m])
@@ -179,7 +179,7 @@ def train(docs: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> list[np.n
     w = initial()
     for turn in range(rounds):
         sent = spark.sparkContext.broadcast((known, w))  # of a size fixed by CLASSES and KNOWN
-        parts = docs.select(F.col("text").cast("string")).mapInArrow(_train(sent, turn), "i long, v double, n long")
+        parts = docs.select(F.col("text").cast("string")).mapInArrow(_train(sent, turn, rounds), "i long, v double, n long")
         flat = dict(parts.groupBy("i").agg(F.sum("v") / F.sum("n")).collect())
         if not flat:
             break

@@ -441,6 +441,15 @@ def test_lm_counts_are_exact(spark, monkeypatch, known_words):
         assert (a, b) == (i, k) and x == pytest.approx(y, rel=1e-4)
 
 
+def test_lm_trains_on_every_word():
+    class State:
+        value = (lm_score.Vocabulary([(5, 2)], np.ones(lm_score.SUFFIXES)), lm_score.initial())
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["one two three", None, "four", " ".join(WORDS * 200)])], ["text"])
+    seen = [next(lm_score._train(State, turn)([batch])).column(2)[0].as_py() for turn in range(lm_score.ROUNDS)]
+    assert sum(seen) == 4 + 200 * len(WORDS) and min(seen) > 0.4 * sum(seen)
+
+
 def test_lm_gradient():
     rng = np.random.default_rng(2)
     w = [x.astype(float) for x in lm_score.initial()]
