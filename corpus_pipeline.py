@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import decontaminate, language_id, mixing, simhash, substring_dedup
-from folioforge.llm.common import stored, table
+from folioforge.llm import decontaminate, graph, language_id, mixing, near_copies, simhash, substring_dedup
+from folioforge.llm.common import checkpointed, stored, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -18,15 +18,26 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document, the least doc_id, of each group of linked fingerprints.
+    """Keep one row of each group of linked texts: that of the least doc_id (nulls last).
 
-    Rows repeated under one doc_id (or under none) are one document: the least text stays.
+    Texts are linked whose fingerprints differ by at most four bits, and those whose 5-word shingles are 0.8 similar or
+    more. Rows are told by doc_id and text, so unrelated texts under one doc_id (or under none) all stay.
     """
-    found = simhash.near_duplicates(docs)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    left = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    one = left.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.struct("text", "source", "lang")).alias("d"))
-    return one.select("d.*")
+    keyed = docs.withColumn("_key", F.xxhash64(F.col("text").cast("string")))
+    texts = keyed.select(F.col("_key").alias("key"), F.col("text").cast("string").alias("text"))
+    prints = checkpointed(simhash.fingerprints(texts.select(F.col("key").alias("doc_id"), "text")).withColumnRenamed("doc_id", "key").distinct())
+    named = checkpointed(prints.groupBy("fp").agg(F.min("key").alias("rep")))
+    near = simhash.links(named.select("fp"))
+    near = near.join(named.select(F.col("fp").alias("a"), F.col("rep").alias("x")), "a").join(named.select(F.col("fp").alias("b"), F.col("rep").alias("y")), "b")
+    equal = prints.join(named, "fp").select(F.col("key").alias("a"), F.col("rep").alias("b"))
+    links = near.select(F.col("x").alias("a"), F.col("y").alias("b")).unionByName(equal).unionByName(near_copies.links(texts))
+    grown = graph.components(links, "a", "b").withColumnRenamed("node", "_key")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key")).alias("first")
+    firsts = keyed.groupBy("_key").agg(first).join(grown, "_key", "left")
+    kept = firsts.groupBy(F.coalesce("component", "_key")).agg(F.min("first").alias("first")).select(F.col("first._key").alias("k"), F.col("first.doc_id").alias("d"))
+    left = keyed.join(kept, (F.col("_key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("d")), "left_semi")
+    one = left.groupBy("_key", "doc_id").agg(F.min_by(F.struct(*docs.columns), F.struct("text", "source", "lang")).alias("one"))
+    return one.select("one.*")
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from folioforge.llm import ann, decontaminate, graph, html_extract, language_id, lm_score, mixing, simhash, substring_dedup, toxicity, url_filter
+from folioforge.llm import ann, decontaminate, graph, html_extract, language_id, lm_score, mixing, near_copies, simhash, substring_dedup, toxicity, url_filter
 from folioforge.llm.kernel import Words
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -488,3 +488,53 @@ def test_pipeline_stages(spark, corpus, tmp_path):
     assert not any(item[:200].lower() in (t or "").lower() for t in seen[3].values())
     assert set(seen[4]) <= set(seen[3])
     assert corpus_pipeline.run(spark, folder).count() == docs.count()
+
+
+def shingles(text):
+    ws = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    ws = words_of(ws)
+    return {tuple(ws[i : i + 5]) for i in range(max(1, len(ws) - 4))} if ws else set()
+
+
+def edited(rng, text, n):
+    ws = text.split()
+    for _ in range(n):
+        ws[rng.randrange(len(ws))] = "edit" + str(rng.randrange(1000))
+    return " ".join(ws)
+
+
+@pytest.mark.parametrize("keys", [500_000, 3])
+def test_near_copies_are_all_pairs(spark, corpus, monkeypatch, keys):
+    monkeypatch.setattr(near_copies, "KEYS", keys)
+    rng = random.Random(15)
+    texts = [t for _, t in corpus if t]
+    texts += [edited(rng, t, k) for t in texts[:40] if len(t.split()) > 30 for k in (1, 2, 3)]
+    texts += ["one two", "One  two", "one two three", "a b c d e", "a b c d e f", "", " "]
+    texts = sorted(set(texts))
+    rows = [(i, t) for i, t in enumerate(texts)] + [(5, texts[5])]
+    got = {tuple(r) for r in near_copies.links(spark.createDataFrame(rows, "key long, text string")).collect()}
+    sets = [shingles(t) for t in texts]
+    want = {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if sets[i] and sets[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])}
+    assert got == want and len(want) > 20
+
+
+def test_pairs_of_groups_over_batches():
+    rng = random.Random(3)
+    rows = sorted((rng.randrange(4), 50 + k % 20, k) for k in range(60) for _ in range(2))
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + 7], strict=True)], ["h", "n", "key"]) for i in range(0, len(rows), 7)]
+    got = {(a, b) for p in near_copies._pairs(batches) for a, b in zip(p.column(0).to_pylist(), p.column(1).to_pylist(), strict=True)}
+    assert got == {(min(x[2], y[2]), max(x[2], y[2])) for x in rows for y in rows if x[0] == y[0] and x[2] != y[2] and 5 * min(x[1], y[1]) >= 4 * max(x[1], y[1])}
+
+
+def test_pipeline_drops_edited_copies(spark, corpus):
+    import corpus_pipeline
+
+    rng = random.Random(16)
+    text = " ".join(rng.choice(WORDS) + str(rng.randrange(1000)) for _ in range(100))
+    copies = [text]
+    while len(copies) < 6:
+        t = edited(rng, text, 2)
+        if (fingerprint(t) ^ fingerprint(text)).bit_count() > 4 and len(shingles(t) & shingles(text)) >= 0.8 * len(shingles(t) | shingles(text)):
+            copies.append(t)
+    docs = docs_table(spark, list(enumerate(copies)), extra=False)
+    assert [r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()] == [0]
