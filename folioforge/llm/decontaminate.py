@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
 from .kernel import mix, pieces
 
 Q = 8
@@ -164,6 +165,34 @@ def _scan(index, id_kind: pa.DataType):
     return run
 
 
+def _without(index):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ix: Index = index.value
+        for batch in batches:
+            held = np.zeros(batch.num_rows, bool)
+            for i, j in pieces(batch.column(1)):
+                texts = [normalised(t) for t in batch.column(1).slice(i, j - i).to_pylist()]
+                held[[i + r for r, *_ in search(ix, texts)]] = True
+            yield batch.filter(pa.array(~held))
+
+    return run
+
+
+def _indexes(benchmark: DataFrame, rate: float, block_chars: int) -> list:
+    """A function for each block of the benchmark that broadcasts its index."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where(F.length("text") >= Q)
+    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = max(1, -(-int(total) // block_chars))
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+
+    def sent(b: int):
+        part = sorted({(r[0], normalised(r[1])) for r in items.where(block == b).collect()}, key=lambda x: (x[0] is None, x))
+        return spark.sparkContext.broadcast(Index(part, rate))
+
+    return [lambda b=b: sent(b) for b in range(blocks)]
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(doc_id, item_id, start, end, edits): documents that hold a benchmark item within its edit budget.
 
@@ -173,25 +202,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_chars
     empty texts and items match nothing; repeated rows give repeated rows; null ids are kept;
     other columns are ignored; empty tables give an empty result.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where(F.length("text") >= Q)
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-int(total) // block_chars))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    out = []
-    for b in range(blocks):
-        part = sorted({(r[0], normalised(r[1])) for r in items.where(block == b).collect()}, key=lambda x: (x[0] is None, x))
-        sent = spark.sparkContext.broadcast(Index(part, rate))
-        out.append(own.mapInArrow(_scan(sent, pa.int64()), "doc_id long, item_id long, start long, end long, edits long"))
-    return reduce(DataFrame.unionByName, out)
+    schema = "doc_id long, item_id long, start long, end long, edits long"
+    return reduce(DataFrame.unionByName, [own.mapInArrow(_scan(sent(), pa.int64()), schema) for sent in _indexes(benchmark, rate, block_chars)])
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents without those that hold a benchmark item; columns stay.
 
-    All rows of a doc_id that leaks go; rows with a null doc_id stay only if no row
-    with a null doc_id leaks.
+    Each row is judged by its own text, whatever other rows have its doc_id.
     """
-    found = leaks(docs, benchmark, rate).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["_leak"]), "left_anti")
+    left = docs.select(F.struct(*docs.columns).alias("d"), F.col("text").cast("string").alias("t"))
+    for b, sent in enumerate(_indexes(benchmark, rate, block_chars)):
+        # a table between blocks, so that a task holds one index at a time
+        left = (stored(left) if b else left).mapInArrow(_without(sent()), left.schema)
+    return left.select("d.*")

@@ -189,6 +189,18 @@ def test_decontamination(spark):
     assert decontaminate.leaks(docs_table(spark, []), benchmark).count() == 0
 
 
+@pytest.mark.parametrize("block", [decontaminate.BLOCK_CHARS, 200])
+def test_clean_judges_each_row(spark, block):
+    rng = random.Random(7)
+    make = lambda n: " ".join(rng.choice(WORDS) + rng.choice("abcdefg") for _ in range(n))
+    items = [(k, make(12)) for k in range(5)]
+    kept = [(None, make(20)), (None, make(20)), (4, make(20)), (5, None), (None, None), (6, "x"), (6, "x")]
+    rows = kept + [(None, make(5) + " " + items[0][1]), (4, items[4][1] + " " + make(5)), (9, items[2][1])]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    out = decontaminate.clean(docs_table(spark, rows), benchmark, block_chars=block) if block == 200 else decontaminate.clean(docs_table(spark, rows), benchmark)
+    assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == Counter(kept) and out.columns == docs_table(spark, []).columns
+
+
 def test_mixing(spark):
     rng = random.Random(1)
     rows = [(i, " ".join(["w"] * rng.randrange(0, 30)), "en", rng.choice(["a", "a", "b", "c", "d", None, "É"])) for i in range(400)]
@@ -538,3 +550,14 @@ def test_pipeline_drops_edited_copies(spark, corpus):
             copies.append(t)
     docs = docs_table(spark, list(enumerate(copies)), extra=False)
     assert [r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()] == [0]
+
+
+def test_pipeline_keeps_rows_of_one_id(spark):
+    import corpus_pipeline
+
+    rng = random.Random(17)
+    make = lambda n: " ".join(rng.choice(WORDS) + str(rng.randrange(1000)) for _ in range(n))
+    a, b, c, d, e = (make(60) for _ in range(5))
+    rows = [(None, a), (None, b), (None, b), (None, c), (2, c), (3, d), (3, e), (3, e), (1, e + " more")]
+    out = corpus_pipeline.near_duplicates(spark, docs_table(spark, rows, extra=False), "")
+    assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == Counter([(None, a), (None, b), (2, c), (3, d), (1, e + " more")])
