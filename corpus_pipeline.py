@@ -12,8 +12,14 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents in which no language can be told (``und``: null or without a letter)."""
-    marked = language_id.with_language(docs, language_id.train(docs))
+    """Drop the documents in which no language can be told (``und``: null or without a letter).
+
+    That is a letter test, which needs no model; where nothing is there to train on, it is made directly.
+    """
+    model = language_id.train(docs)
+    if model is None:
+        return docs.where(F.col("text").cast("string").rlike(r"\p{L}"))
+    marked = language_id.with_language(docs, model)
     return marked.where(F.col("lang_pred") != language_id.UNKNOWN).select(*docs.columns)
 
 

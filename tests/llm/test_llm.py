@@ -561,3 +561,10 @@ def test_pipeline_keeps_rows_of_one_id(spark):
     rows = [(None, a), (None, b), (None, b), (None, c), (2, c), (3, d), (3, e), (3, e), (1, e + " more")]
     out = corpus_pipeline.near_duplicates(spark, docs_table(spark, rows, extra=False), "")
     assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == Counter([(None, a), (None, b), (2, c), (3, d), (1, e + " more")])
+
+
+def test_pipeline_language_without_labels(spark):
+    import corpus_pipeline
+
+    docs = docs_table(spark, [(1, "some words"), (2, "12 !"), (3, None), (4, ""), (5, "\u4e2d"), (None, "\n \u00e9")], extra=False).withColumn("lang", F.lit(None).cast("string"))
+    assert sorted(str(r["doc_id"]) for r in corpus_pipeline.language(spark, docs, "").collect()) == ["1", "5", "None"]
