@@ -58,14 +58,15 @@ def _codes(text: str) -> np.ndarray:
 
 
 class Index:
-    """Postings of the q-grams of some items, which are at least ``q`` characters long."""
+    """Postings of the q-grams of the items of ``Q`` characters or more; the shorter ones follow those in ``items``."""
 
     def __init__(self, items: list[tuple[int | None, str]], rate: float = RATE):
-        self.items = [(i, t) for i, t in items if len(t) >= Q]
-        self.sizes = np.array([len(t) for _, t in self.items], np.int64)
+        long = [(i, t) for i, t in items if len(t) >= Q]
+        self.items = long + [(i, t) for i, t in items if 0 < len(t) < Q]
+        self.sizes = np.array([len(t) for _, t in long], np.int64)
         self.edits = np.array([budget(n, rate) for n in self.sizes], np.int64)
         self.bound = np.maximum(1, self.sizes + 1 - Q * (self.edits + 1))
-        hs = [_hashes(_codes(t)) for _, t in self.items]
+        hs = [_hashes(_codes(t)) for _, t in long]
         h = np.concatenate(hs) if hs else np.zeros(0, np.uint64)
         item = np.repeat(np.arange(len(hs)), [len(x) for x in hs])
         at = np.concatenate([np.arange(len(x)) for x in hs]) if hs else np.zeros(0, np.int64)
@@ -105,6 +106,14 @@ def align(item: str, text: str, most: int) -> tuple[int, int, int] | None:
 
 def search(index: Index, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
     """(text, item, start, end, edits), the best region of each pair that has one."""
+    found = _by_grams(index, texts)
+    for i in range(len(index.sizes), len(index.items)):  # too short for q-grams, and for any edit
+        item = index.items[i][1]
+        found += [(r, i, at, at + len(item), 0) for r, t in enumerate(texts) if (at := t.find(item)) >= 0]
+    return found
+
+
+def _by_grams(index: Index, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
     codes = _codes("".join(texts))
     length = np.array([len(t) for t in texts], np.int64)
     offset = np.concatenate(([0], np.cumsum(length)))
@@ -124,7 +133,7 @@ def search(index: Index, texts: list[str]) -> list[tuple[int, int, int, int, int
     diagonal = at - offset[row] - index.at[post]
     width = index.edits[item] + 1
     band = diagonal // width  # from band * width, over 2 * width diagonals, with the band before
-    pair = row * len(index.items) + item
+    pair = row * len(index.sizes) + item
     found: dict[tuple[int, int], tuple[int, int, int]] = {}
     order = np.lexsort((band, pair))
     pair, band = pair[order], band[order]
@@ -136,8 +145,8 @@ def search(index: Index, texts: list[str]) -> list[tuple[int, int, int, int, int
     both = n.copy()  # of this band and the next
     follows = np.flatnonzero((pair[1:] == pair[:-1]) & (band[1:] == band[:-1] + 1))
     both[follows] += n[follows + 1]
-    for k in np.flatnonzero(both >= index.bound[pair % len(index.items)]).tolist():
-        r, i = divmod(int(pair[k]), len(index.items))
+    for k in np.flatnonzero(both >= index.bound[pair % len(index.sizes)]).tolist():
+        r, i = divmod(int(pair[k]), len(index.sizes))
         w, m = int(index.edits[i]) + 1, int(index.sizes[i])
         low = max(0, int(band[k]) * w - w)
         high = min(int(length[r]), (int(band[k]) + 2) * w + m + w)
@@ -181,7 +190,7 @@ def _without(index):
 def _indexes(benchmark: DataFrame, rate: float, block_chars: int) -> list:
     """A function for each block of the benchmark that broadcasts its index."""
     spark = benchmark.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where(F.length("text") >= Q)
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where(F.length("text") > 0)
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-int(total) // block_chars))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
@@ -198,7 +207,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_chars
 
     The best region of each pair, in characters of the normalised text (see ``normalised``); ties: the earliest.
     An item's budget is ``rate`` times its length, or as many as leave one shared
-    q-gram certain; items under ``Q`` characters can't be told by q-grams and are found nowhere. Null or
+    q-gram certain; items under ``Q`` characters have none and are searched for as they stand, inside words too. Null or
     empty texts and items match nothing; repeated rows give repeated rows; null ids are kept;
     other columns are ignored; empty tables give an empty result.
     """

@@ -189,6 +189,15 @@ def test_decontamination(spark):
     assert decontaminate.leaks(docs_table(spark, []), benchmark).count() == 0
 
 
+def test_short_items_are_found_exactly(spark):
+    items = [(1, " Yes, 4 "), (2, "\u5317\u4eac"), (3, " \t"), (4, "a longer item of words"), (5, "padded           ")]
+    rows = [(1, "so yes,  4 it is, YES, 4"), (2, "x\u5317\u4eacy"), (3, "yes 4"), (4, None), (None, "a longer  item of words, padded"), (6, "\u5317 \u4eac")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {tuple(r) for r in decontaminate.leaks(docs_table(spark, rows), benchmark).collect()}
+    assert got == {(1, 1, 3, 9, 0), (2, 2, 1, 3, 0), (None, 4, 0, 22, 0), (None, 5, 24, 30, 0)}
+    assert {r["doc_id"] for r in decontaminate.clean(docs_table(spark, rows), benchmark).collect()} == {3, 4, 6}
+
+
 @pytest.mark.parametrize("block", [decontaminate.BLOCK_CHARS, 200])
 def test_clean_judges_each_row(spark, block):
     rng = random.Random(7)
