@@ -369,9 +369,11 @@ def test_language(spark):
     assert kept.columns == [*docs.columns, "lang_pred", "lang_score"] and {r["score"] for r in kept.collect()} == {"own"}
 
 
-def test_forward_backward_equals_enumeration():
+@pytest.mark.parametrize("block", [1, 2, 64])
+def test_forward_backward_equals_enumeration(monkeypatch, block):
     import itertools
 
+    monkeypatch.setattr(language_id, "BLOCK", block)
     model = language_id.Model(["a", "b", "c"])
     rng = np.random.default_rng(1)
     model.step, model.first = rng.standard_normal((3, 3)), rng.standard_normal(3)
@@ -387,6 +389,51 @@ def test_forward_backward_equals_enumeration():
         assert np.allclose(m[at : at + n], total / total.sum(axis=1, keepdims=True))
 
 
+def features(text):
+    """The buckets that a text's words should have, word by word: n-grams, then the lexicon."""
+    low = b"".join(bytes([b]) if 97 <= b <= 122 or b >= 128 else b" " for b in (b"\n" + text + b"\n\n\n\n").lower())
+    up, full = 0x100000001B3, 1 << 64
+
+    def hashed(x):
+        return int(language_id.mix(np.array([x % full], np.uint64))[0])
+
+    out = []
+    for m in re.finditer(rb"[a-z\x80-\xff]+", low):
+        at = range(m.start() - 1, m.end())
+        grams = [[hashed(int.from_bytes(low[i : i + n], "big") + (n << 56)) >> 48 for i in at] for n in language_id.ORDERS]
+        total = sum(hashed(int.from_bytes(low[i : i + 4], "big")) for i in at)
+        out.append((grams, hashed(total * up + len(at)) >> 48))
+    return out
+
+
+@pytest.mark.parametrize("window", [5, 1 << 16])
+def test_emissions_equal_a_sum_by_words(monkeypatch, window):
+    monkeypatch.setattr(language_id, "WINDOW", window)
+    model, rng = language_id.Model(["a", "b"]), np.random.default_rng(2)
+    for w in (*model.grams, model.lexicon):
+        w[:] = rng.standard_normal(w.shape)
+    text = "Ein sehr langes Wort: Donaudampfschiff, cat. été 12 x".encode()
+    c = language_id.Chains([text])
+    expected = [sum(w[g].sum(axis=0) for w, g in zip(model.grams, grams, strict=True)) + model.lexicon[own] for grams, own in features(text)]
+    assert np.allclose(model.emissions(c), expected, atol=1e-4)
+
+
+def test_language_of_a_very_long_text():
+    import tracemalloc
+
+    rng = random.Random(6)
+    model = language_id.fit([sentence(rng, x, 12).encode() for x in STEMS for _ in range(40)], [x for x in STEMS for _ in range(40)])
+    some = " ".join(sentence(rng, "bb").rstrip(".") for _ in range(2000))
+    long = (some + " ") * (5_000_000 // len(some))
+    tracemalloc.start()
+    for text in (long, "é" * 2_500_000):  # five million bytes without a stop, and in one word
+        assert language_id._languages(model, [text.encode(), b""])[0][1] == "und"
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500 << 20
+    assert language_id._languages(model, [long.encode()])[0] == ["bb"]
+
+
 def test_toxicity(spark):
     rng = random.Random(7)
     rows, labels = [], []
