@@ -3,14 +3,16 @@
 Each text is cut in non-overlapping reference blocks of ``BLOCK`` = 7 words; whatever
 13 words stand in a text, they hold one of its blocks whole. Blocks are indexed by hash
 with the least doc_id that has them, and probed with every rolling window of 7 words of
-all texts. Only texts with hits go on: hits are extended to the 13-word windows around
-them, those are compared by 128-bit hashes, and touching windows make up maximal exact
+all texts. Only texts with hits go on: a hit is extended to the 13-word windows around it,
+those are compared by 128-bit hashes, and touching windows make up maximal exact
 repeats. A text whole that a smaller doc_id has too is one repeat; such copies are told by
 their digests, so that groups of them bring no windows of their own.
 
-Rows that meet in a join are (hash, doc_id) pairs, one for each distinct window of a text. The
-``HOT_BLOCKS`` blocks that most texts hold are sent to the probes, whose rows so don't meet
-in one task; the joins on digests and windows have plain exchanges on both sides, and AQE
+Each text is read once for the index, once for the probes, once for the windows around hits and once to be cut; the index
+and the windows are stored between. Probes are (hash, doc_id) pairs, one for each distinct window of a
+text, which meet the index in shares of at most about ``SHARE`` of its rows, held as hash tables, so that probes are never
+sorted. The ``HOT_BLOCKS`` blocks that most texts hold are sent to the probing tasks; their hits are spread
+by doc_id and meet nothing. The joins on digests and windows have plain exchanges on both sides, and AQE
 splits what is hot there.
 """
 
@@ -24,14 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
-from .kernel import Words, pieces, signed
+from .common import partitions, stored
+from .kernel import Words, mix, pieces, signed
 
 WINDOW = 13
 BLOCK = (WINDOW + 1) // 2
 #: blocks broadcast at most, and the texts that must hold one
 HOT_BLOCKS = 20_000
 HOT_TEXTS = 1_000
+#: rows of the index that a task holds, about
+SHARE = 500_000
 #: stands for a null doc_id, which counts as larger than any other
 LAST = (1 << 63) - 1
 
@@ -44,25 +48,56 @@ def _unique(h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h[new], row[new]
 
 
-def _grams(aligned: bool):
+def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, d): the blocks of each text."""
+    for batch in batches:
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        for i, j in pieces(batch.column(1)):
+            words, at, h, row = _runs(batch.column(1).slice(i, j - i))
+            keep = (at - words.first[row]) % BLOCK == 0
+            h, row = _unique(h[keep], row[keep])
+            yield pa.RecordBatch.from_arrays([pa.array(signed(h)), pa.array(ids[i:j][row])], ["h", "d"])
+
+
+def _probes(state):
+    """(k, d): all runs of a block's length of each text, k their hash.
+
+    For those of ``hot`` blocks k is negative, spread over the texts, and -1 - k modulo HOT_BLOCKS is the block's place;
+    they are given only where a smaller doc_id has the block.
+    """
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot, least = state.value
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for i, j in pieces(batch.column(1)):
-                words = Words(batch.column(1).slice(i, j - i))
-                at, h = words.grams(BLOCK)
-                row = words.rows[at]
-                # only texts of a window or more
-                keep = (words.first[1:] - words.first[:-1])[row] >= WINDOW
-                if aligned:
-                    keep &= (at - words.first[row]) % BLOCK == 0
-                # 48 bits: a chance hit costs a closer look, and the rows are smaller
-                h, row = _unique(h[keep] >> np.uint64(16), row[keep])
-                yield pa.RecordBatch.from_arrays([pa.array(signed(h)), pa.array(ids[i:j][row])], ["h", "d"])
+                _, _, h, row = _runs(batch.column(1).slice(i, j - i))
+                h, row = _unique(h, row)
+                k, d = signed(h), ids[i:j][row]
+                if len(hot):
+                    at = np.minimum(np.searchsorted(hot, k), len(hot) - 1)
+                    common = hot[at] == k
+                    keep = ~common | (least[at] < d)
+                    spread = (mix(d.astype(np.uint64)) >> np.uint64(24)).astype(np.int64)
+                    k = np.where(common, -1 - (at + HOT_BLOCKS * spread), k)[keep]
+                    d = d[keep]
+                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(d)], ["k", "d"])
 
     return run
 
 
+def _runs(column: pa.Array) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
+    """Words, and the place, hash and row of each run of a block's length in the texts of a window or more.
+
+    Of the hash 48 bits: a chance hit costs a closer look, and the rows are smaller.
+    """
+    words = Words(column)
+    at, h = words.grams(BLOCK)
+    row = words.rows[at]
+    keep = (words.first[1:] - words.first[:-1])[row] >= WINDOW
+    return words, at[keep], h[keep] >> np.uint64(16), row[keep]
+
+
 def _candidates(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows that hold a flagged run of words, as (h0, h1, d)."""
     for batch in batches:
@@ -166,9 +201,9 @@ def cut_documents(docs: DataFrame) -> DataFrame:
     A text that loses nothing stays as it is, to the byte. All columns and rows stay, with an n_removed added last.
     """
     rest = [c for c in docs.columns if c not in ("text", "n_removed")]
-    cut = _judged(docs, F.struct(*rest, F.col("text").isNull().alias("_null")).alias("row"), True)
-    text = F.when(F.col("row._null"), F.lit(None)).otherwise(F.col("kept_text")).alias("text")
-    return cut.select(*[text if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns if c != "n_removed"], "n_removed")
+    cut = _judged(docs, F.struct(F.struct(*rest).alias("own"), F.col("text").isNull().alias("none")).alias("row"), True)
+    text = F.when(F.col("row.none"), F.lit(None)).otherwise(F.col("kept_text")).alias("text")
+    return cut.select(*[text if c == "text" else F.col("row.own").getField(c).alias(c) for c in docs.columns if c != "n_removed"], "n_removed")
 
 
 def _judged(docs: DataFrame, carried, with_text: bool) -> DataFrame:
@@ -181,16 +216,23 @@ def _judged(docs: DataFrame, carried, with_text: bool) -> DataFrame:
     later = digest.join(same, "digest").groupBy("d").agg(F.min(F.col("d") > F.col("least")).alias("copied"), F.count("*").alias("n"))
     # of several rows under one doc_id, all must be copies
     copies = stored(later.where("copied").join(texts.groupBy("d").agg(F.count("*").alias("of")), "d").where("n = of").select("d"))
-    blocks = plain.mapInArrow(_grams(True), "h long, d long").groupBy("h").agg(F.min("d").alias("least"), F.count("*").alias("n"))
-    hot = stored(blocks.where(F.col("n") >= HOT_TEXTS).orderBy(F.desc("n"), "h").limit(HOT_BLOCKS).select("h", F.col("least").alias("hot")))
-    probes = plain.mapInArrow(_grams(False), "h long, d long").join(F.broadcast(hot), "h", "left")
-    common = probes.where("d > hot").select("h", "d", F.col("hot").alias("least"))
-    rare = probes.where("hot is null").select("h", "d").join(blocks.select("h", "least"), "h").where("d > least")
-    hits = common.unionByName(rare).join(copies, "d", "left_anti")
+    blocks = stored(plain.mapInArrow(_blocks, "h long, d long").groupBy("h").agg(F.min("d").alias("least"), F.count("*").alias("n")))
+    # by way of a table, as a collected limit would send the driver HOT_BLOCKS rows of each partition
+    hot = stored(blocks.where(F.col("n") >= HOT_TEXTS).orderBy(F.desc("n"), "h").limit(HOT_BLOCKS).select("h", "least")).collect()
+    hot.sort()
+    spark = docs.sparkSession
+    sent = spark.sparkContext.broadcast((np.array([r[0] for r in hot], np.int64), np.array([r[1] for r in hot], np.int64)))
+    shares = max(partitions(spark), -(-blocks.count() // SHARE))
+    index = blocks.select(F.col("h").alias("k"), "least").repartition(shares, "k").hint("shuffle_hash")
+    met = plain.mapInArrow(_probes(sent), "k long, d long").repartition(shares, "k").join(index, "k", "left").where("k < 0 or d > least")
+    named = spark.createDataFrame([(i, r[0], r[1]) for i, r in enumerate(hot)], "i long, hot long, hot_least long")
+    place = F.when(F.col("k") < 0, F.pmod(-1 - F.col("k"), F.lit(HOT_BLOCKS).cast("long")))
+    met = met.withColumn("i", place).join(F.broadcast(named), "i", "left")
+    hits = met.select(F.coalesce("hot", "k").alias("h"), "d", F.coalesce("hot_least", "least").alias("least")).join(copies, "d", "left_anti")
     # a text with a hit, and the first text that holds the block, are both looked at closer
     flagged = stored(hits.select("h", F.explode(F.array("d", "least")).alias("d")).groupBy("d").agg(F.collect_set("h").alias("flags")))
-    near = plain.join(flagged, "d").select("d", "text", "flags").mapInArrow(_candidates, "h0 long, h1 long, d long")
-    least = stored(near.groupBy("h0", "h1").agg(F.min("d").alias("least"), F.max("d").alias("most")).where("most > least").select("h0", "h1", "least"))
+    near = stored(plain.join(flagged, "d").select("d", "text", "flags").mapInArrow(_candidates, "h0 long, h1 long, d long"))
+    least = near.groupBy("h0", "h1").agg(F.min("d").alias("least"), F.max("d").alias("most")).where("most > least").select("h0", "h1", "least")
     marks = stored(near.join(least, ["h0", "h1"]).where("d > least").groupBy("d").agg(F.collect_set(F.struct("h0", "h1")).alias("marks")))
     none = F.array().cast("array<struct<h0:long,h1:long>>")
     gone = marks.select("d", "marks", F.lit(False).alias("whole")).unionByName(copies.select("d", none.alias("marks"), F.lit(True).alias("whole")))

@@ -149,6 +149,11 @@ def test_substring_dedup(spark, corpus, monkeypatch, hot):
     rows = cut.collect()
     assert len(rows) == len(corpus) and sum(r["text"] is None for r in rows) == sum(t is None for _, t in corpus)
     assert "Two\vthree" in {r["text"] for r in rows}
+    clash = docs_table(spark, corpus[:5], extra=False)
+    for c in ("_null", "none", "own", "row", "d", "h", "k", "least", "marks", "whole", "kept_text", "spans", "n_words"):
+        clash = clash.withColumn(c, F.lit(c))
+    out = substring_dedup.cut_documents(clash)
+    assert out.columns == [*clash.columns, "n_removed"] and {(r["_null"], r["d"], r["spans"]) for r in out.collect()} == {("_null", "d", "spans")}
 
 
 def edits_in(item, text):
