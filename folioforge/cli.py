@@ -58,8 +58,9 @@ def main(args: Sequence[str] | None = None, spark: SparkSession | None = None) -
     meta = files.stored_meta(spark, a.out) if before else spark.createDataFrame([], META_COLUMNS)
     old = paths.unionByName(meta.select(F.explode(split_sources(F.col("ft_source"))).alias("path")))
     prior = files.stored_content(spark, a.out) if before else None
-    out = pipeline.ingest(records, meta, files.stats(old), prior, root=a.out, service=a.service).persist()
-    sinks.write_tables(out, a.out)
+    out = pipeline.ingest(records, meta, files.stats(old), prior, root=a.out, service=a.service, get=remote.fetch).persist()
+    there = meta.select("bibcode", F.lit(True).alias("has_meta"), F.col("fulltext_mtime").isNotNull().alias("has_fulltext"))
+    sinks.write_tables(sinks.unsent(out, there), a.out)
     sinks.send(out, f"{a.out}/messages")
     return out.where("error is not null").count()
 

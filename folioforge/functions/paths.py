@@ -63,9 +63,28 @@ def modified_time(seconds: Column) -> Column:
     return F.timestamp_seconds(F.floor(seconds))
 
 
+#: other forms than ISO 8601 that dates are read in, tried in this order
+DATE_FORMS = (
+    "d MMM yyyy HH:mm:ss zzz",
+    "d MMM yyyy HH:mm:ss",
+    "d MMM yyyy",
+    "MMM d, yyyy",
+    "MMMM d, yyyy",
+    "yyyy/MM/dd HH:mm:ss",
+    "yyyy/MM/dd",
+    "MM/dd/yyyy",
+    "yyyyMMdd'T'HHmmss",
+    "yyyyMMdd",
+)
+
+
 def parse_date(text: Column) -> Column:
-    """ISO 8601 to timestamp; null where it can't be read."""
-    return F.try_to_timestamp(text)
+    """ISO 8601, or one of ``DATE_FORMS`` (after a day of the week or not), to timestamp; null where it can't be read."""
+    trimmed = F.regexp_replace(F.trim(text), r"^[A-Za-z]{3,9}, *", "")
+    digits = F.when(trimmed.rlike(r"^\d{1,7}$"), F.lit(None)).otherwise(trimmed)  # a bare number isn't a year
+    others = [F.try_to_timestamp(trimmed, F.lit(form)) for form in DATE_FORMS]
+    compact = trimmed.rlike(r"^\d{8}(T\d{6})?$")
+    return F.when(compact, F.coalesce(*others[-2:])).otherwise(F.coalesce(F.try_to_timestamp(digits), *others[:-2]))
 
 
 def index_date(now: Column | None = None) -> Column:

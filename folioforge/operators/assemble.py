@@ -62,9 +62,9 @@ def meta_json() -> Column:
     return F.to_json(F.struct(*names))
 
 
-def written_keys(records: DataFrame) -> DataFrame:
-    """(bibcodes): a JSON array of the records, in order."""
-    return records.agg(F.to_json(F.array_sort(F.collect_list("bibcode"))).alias("bibcodes"))
+def written_keys(records: DataFrame, batch: Column) -> DataFrame:
+    """(batch, bibcodes): a JSON array of each batch's records, in order. A batch is as large as the caller makes it."""
+    return records.groupBy(batch.alias("batch")).agg(F.to_json(F.array_sort(F.collect_list("bibcode"))).alias("bibcodes"))
 
 
 def distinct_entities(column: Column) -> Column:

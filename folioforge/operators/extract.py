@@ -88,14 +88,15 @@ def html_files(files: list[tuple[str, str]]) -> str:
 
 
 def _strict(markup: str) -> Node:
-    def copy(e: ET.Element, parent: Node | None) -> Node:
+    """The tree of well-formed markup; without recursion, as documents may be nested to any depth."""
+    root = Node("root")
+    todo = [(ET.fromstring(markup), root)]
+    while todo:
+        e, parent = todo.pop()
         node = Node(bare(e.tag.rsplit("}", 1)[-1]), {bare(k.rsplit("}", 1)[-1]): v for k, v in e.attrib.items()}, parent)
         node.text, node.tail = e.text or "", e.tail or ""
-        node.children = [copy(c, node) for c in e if isinstance(c.tag, str)]
-        return node
-
-    root = Node("root")
-    root.children = [copy(ET.fromstring(markup), root)]
+        parent.children.append(node)
+        todo.extend((c, node) for c in reversed(e) if isinstance(c.tag, str))
     return root
 
 
@@ -256,29 +257,45 @@ def extract_text(docs: DataFrame, text: str = "text", profile: str = "txt") -> D
 
 
 def field_udf(function: Callable[[str], object], kind: DataType = StringType()):
-    """A function of one text as a pandas UDF; nulls stay null."""
+    """A function of one text as a pandas UDF; nulls stay null, and a text that it fails on gives null."""
+
+    def one(text):
+        try:
+            return function(text)
+        except Exception:
+            return None
 
     @F.pandas_udf(kind)
     def run(text: pd.Series) -> pd.Series:
-        return text.map(function, na_action="ignore")
+        return text.map(one, na_action="ignore")
 
     return run
 
 
-def _fields_udf(kind: str):
+def fields_udf(kind: str):
+    """All fields of XML of a kind, with an error where a text fails."""
+    extractor = {kind: lambda text: xml_fields(text, kind)}
+
     @F.pandas_udf(CONTENT_TYPE)
     def run(text: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([EMPTY | xml_fields(t, kind) if t is not None else EMPTY for t in text], columns=list(EMPTY))
+        return pd.DataFrame([extract_one(kind, t, extractor) if t is not None else EMPTY for t in text], columns=list(EMPTY))
 
     return run
 
 
 html_fulltext = field_udf(html_text)
-xml_extract, elsevier_extract, tei_extract = (_fields_udf(k) for k in ("xml", "elsevier", "teixml"))
+xml_extract, elsevier_extract, tei_extract = (fields_udf(k) for k in ("xml", "elsevier", "teixml"))
 summary = field_udf(section_summary)
 
 
+def _with_tables(main: str, names, tables) -> str | None:
+    try:
+        return html_text(main, dict(zip(names, tables, strict=True)))
+    except Exception:
+        return None
+
+
 @F.pandas_udf(StringType())
 def html_with_tables(main: pd.Series, names: pd.Series, tables: pd.Series) -> pd.Series:
-    """Main HTML with linked tables: arrays of file names and of their HTML."""
-    return pd.Series([html_text(m, dict(zip(n, t, strict=True))) if m is not None else None for m, n, t in zip(main, names, tables, strict=True)])
+    """Main HTML with linked tables: arrays of file names and of their HTML. Null for a null or failing document."""
+    return pd.Series([_with_tables(m, n, t) if m is not None else None for m, n, t in zip(main, names, tables, strict=True)])

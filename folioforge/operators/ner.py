@@ -12,6 +12,18 @@ from pyspark.sql import functions as F
 from .assemble import distinct_entities
 
 Model = Callable[[str], list[str]]
+#: models that this worker has loaded, by the name of their loader
+_MODELS: dict[str, Model] = {}
+
+
+def loaded(loader: Callable[[], Model]) -> Model:
+    """The loader's model, which a worker that takes several tasks loads once if the loader has a ``name``."""
+    name = getattr(loader, "name", None)
+    if name is None:
+        return loader()
+    if name not in _MODELS:
+        _MODELS[name] = loader()
+    return _MODELS[name]
 
 
 def gazetteer(names: Iterable[str]) -> Callable[[], Model]:
@@ -24,6 +36,7 @@ def gazetteer(names: Iterable[str]) -> Callable[[], Model]:
         find = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, ordered)) + r")(?!\w)").findall
         return lambda text: find(text)
 
+    load.name = "names:" + "\n".join(ordered)
     return load
 
 
@@ -36,6 +49,7 @@ def spacy_model(folder: str) -> Callable[[], Model]:
         nlp = spacy.load(folder)
         return lambda text: [e.text for e in nlp(text).ents]
 
+    load.name = "spacy:" + folder
     return load
 
 
@@ -43,7 +57,7 @@ def facilities(records: DataFrame, ack_model: Callable[[], Model], text_model: C
     """(bibcode, facility_ack, facility_ft): distinct names, null for a text that is null or empty."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ack, full = ack_model(), text_model()
+        ack, full = loaded(ack_model), loaded(text_model)
         for b in batches:
             yield pd.DataFrame({"bibcode": b["bibcode"], "facility_ack": [ack(t) if t else None for t in b["acknowledgements"]], "facility_ft": [full(t) if t else None for t in b["fulltext"]]})
 

@@ -72,14 +72,13 @@ def pdfbox_trim(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", textclean.drop_long_runs(long).alias("cleaned"))
 
 
-@query(f"SELECT doc_id, {words_sql('text')} AS fulltext FROM documents WHERE text IS NOT NULL")
+@query(f"SELECT doc_id, {words_sql('text')} AS fulltext FROM documents")
 def utf8_decode(spark, sf_dir):
     raw = F.concat(F.encode("text", "UTF-8"), F.unhex(F.lit("FFC3")))
-    docs = table(spark, sf_dir, "documents").where("text is not null")
-    return docs.select("doc_id", textclean.trim_words(textclean.decode_utf8(raw)).alias("fulltext"))
+    return table(spark, sf_dir, "documents").select("doc_id", textclean.trim_words(textclean.decode_utf8(raw)).alias("fulltext"))
 
 
-_DECODED = r"regexp_replace(replace(replace(replace(html, '&quot;', ''''), '&copy;', chr(169)), '&middot;', chr(183)), '&(#x[\da-fA-F]+|#\d+|\w+);', '', 'g')"
+_DECODED = r"regexp_replace(replace(replace(replace(html, '&quot;', ''''), '&copy;', chr(169)), '&middot;', chr(183)), '&(#\d+|#x[0-9a-fA-F]+|\w+);', '', 'g')"
 
 
 @query(f"SELECT page_id, {_DECODED} AS decoded FROM pages")
@@ -159,61 +158,63 @@ def html_table_inline(spark, sf_dir):
     return docs.select("doc_id", extract.html_with_tables(main, F.array(F.lit("table1.html")), F.array(linked)).alias("fulltext"))
 
 
-#: up to the value of the link
-_NAMED = '<named-content content-type="{}" xlink:href="'
+def _given(sql: str) -> str:
+    """Null where the text is."""
+    return f"CASE WHEN text IS NOT NULL THEN {sql} END"
 
 
 def _article(close: str = "</article>"):
     return F.concat(
-        F.lit("<article><body><sec><p>"), _plain(), F.lit(" <inline-formula>f</inline-formula>kept</p><table><tr><td>t</td></tr></table></sec>"), F.lit(_NAMED.format("dataset")), F.lit("SET/"),
-        F.col("doc_id").cast("string"), F.lit('"/><ack>moved</ack></body><back><ack><p>Thanks '), "source", F.lit("</p>"), F.lit(_NAMED.format("facility")), F.lit("F"),
+        F.lit("<article><body><sec><p>"), _plain(), F.lit(" <inline-formula>f</inline-formula>kept</p><table><tr><td>t</td></tr></table></sec>"), F.lit('<named-content content-type="dataset" xlink:href="SET/'),
+        F.col("doc_id").cast("string"), F.lit('"/><ack>moved</ack></body><back><ack><p>Thanks '), "source", F.lit('</p><named-content content-type="facility" xlink:href="F'),
         F.col("doc_id").cast("string"), F.lit('"/><named-content content-type="facility"/></ack></back>' + close),
     )
 
 
 def _fields(spark, sf_dir):
-    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", extract.xml_extract(_article()).alias("x"))
+    return table(spark, sf_dir, "documents").select("doc_id", extract.xml_extract(_article()).alias("x"))
 
 
-@query(f"SELECT doc_id, {words_sql(f"concat({_PLAIN}, ' kept')")} AS fulltext FROM documents WHERE text IS NOT NULL")
+@query(f"SELECT doc_id, {_given(words_sql(f"concat({_PLAIN}, ' kept')"))} AS fulltext FROM documents")
 def xml_fulltext(spark, sf_dir):
     return _fields(spark, sf_dir).select("doc_id", "x.fulltext")
 
 
-@query("SELECT doc_id, 'moved' AS acknowledgements FROM documents WHERE text IS NOT NULL")
+@query(f"SELECT doc_id, {_given("'moved'")} AS acknowledgements FROM documents")
 def xml_acknowledgements(spark, sf_dir):
     return _fields(spark, sf_dir).select("doc_id", "x.acknowledgements")
 
 
-@query("SELECT doc_id, 'SET/' || doc_id AS dataset, 'F' || doc_id AS facility FROM documents WHERE text IS NOT NULL")
+@query(f"SELECT doc_id, {_given("'SET/' || doc_id")} AS dataset, {_given("'F' || doc_id")} AS facility FROM documents")
 def xml_links(spark, sf_dir):
     return _fields(spark, sf_dir).select("doc_id", F.array_join("x.dataset", ",").alias("dataset"), F.array_join("x.facility", ",").alias("facility"))
 
 
-@query(f"SELECT doc_id, {words_sql(f"concat({_PLAIN}, ' THANK YOU')")} AS fulltext, 'THANK YOU' AS acknowledgements FROM documents WHERE text IS NOT NULL")
+@query(f"SELECT doc_id, {_given(words_sql(f"concat({_PLAIN}, ' THANK YOU')"))} AS fulltext, {_given("'THANK YOU'")} AS acknowledgements FROM documents")
 def elsevier_extract(spark, sf_dir):
     raw = F.concat(F.lit('<ja:article xmlns:ja="x"><ja:body view="all"><ce:p>'), _plain(), F.lit("</ce:p><ce:acknowledgment>THANK YOU</ce:acknowledgment></ja:body></ja:article>"))
-    docs = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", extract.elsevier_extract(raw).alias("x"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", extract.elsevier_extract(raw).alias("x"))
     return docs.select("doc_id", "x.fulltext", "x.acknowledgements")
 
 
-@query(f"SELECT doc_id, {words_sql(_PLAIN)} AS fulltext, concat('by ', source) AS acknowledgements FROM documents WHERE text IS NOT NULL")
+@query(f"SELECT doc_id, {words_sql(_PLAIN)} AS fulltext, {_given("concat('by ', source)")} AS acknowledgements FROM documents")
 def tei_extract(spark, sf_dir):
     raw = F.concat(F.lit('<TEI xmlns="urn:tei"><text><body>'), _plain(), F.lit('</body><back><div type="acknowledgement">by '), "source", F.lit("</div></back></text></TEI>"))
-    docs = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", extract.tei_extract(raw).alias("x"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", extract.tei_extract(raw).alias("x"))
     return docs.select("doc_id", "x.fulltext", "x.acknowledgements")
 
 
-@query(f"SELECT doc_id, {words_sql(_PLAIN)} AS summary FROM documents WHERE text IS NOT NULL")
+@query(f"SELECT doc_id, {words_sql(_PLAIN)} AS summary FROM documents")
 def section_summary(spark, sf_dir):
     raw = F.concat(F.lit("<article><body><sec>first</sec><sec>"), _plain(), F.lit("</sec></body></article>"))
-    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", extract.summary(raw).alias("summary"))
+    return table(spark, sf_dir, "documents").select("doc_id", extract.summary(raw).alias("summary"))
 
 
-@query("SELECT doc_id, CASE WHEN doc_id % 4 = 3 THEN 'unsupported format: doc' END AS error, CASE doc_id % 4 WHEN 0 THEN 'a b' WHEN 1 THEN 'a b' WHEN 2 THEN 'a b' END AS fulltext FROM documents")
+@query(f"SELECT doc_id, CASE WHEN text IS NULL THEN 'no content' WHEN doc_id % 4 = 3 THEN 'unsupported format: doc' END AS error, CASE WHEN doc_id % 4 < 3 THEN {words_sql(_PLAIN)} END AS fulltext FROM documents")
 def dispatch_formats(spark, sf_dir):
-    kinds = F.element_at(F.array(*[F.lit(x) for x in ("txt", "html", "xml", "doc")]), (F.col("doc_id") % 4 + 1).cast("int"))
-    content = F.element_at(F.array(*[F.lit(x) for x in ("a  b", "<p>a <b>b</b>", "<x><body>a<i> b</i></body></x>", "?")]), (F.col("doc_id") % 4 + 1).cast("int"))
+    kind = F.col("doc_id") % 4
+    kinds = F.when(kind == 0, "txt").when(kind == 1, "html").when(kind == 2, "xml").otherwise("doc")
+    content = F.when(kind == 1, F.concat(F.lit("<p>"), _plain())).when(kind == 2, F.concat(F.lit("<x><body>"), _plain(), F.lit("</body></x>"))).otherwise(_plain())
     docs = table(spark, sf_dir, "documents").select("doc_id", kinds.alias("file_format"), F.lit("P").alias("provider"), F.encode(content, "UTF-8").alias("content"))
     return extract.extract(docs).select("doc_id", "error", "fulltext")
 
@@ -396,29 +397,31 @@ def count_by_provider(spark, sf_dir):
     return assemble.counts(table(spark, sf_dir, "documents"), "source")
 
 
-@query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS index_date, strftime(ts, '%a, ') || strftime(ts, '%d %b %Y ') || strftime(ts, '%H:%M:%S UTC') AS http_date, ts = ts AS parsed FROM events")
+@query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS index_date, strftime(ts, '%a, %d %b %Y %H:%M:%S UTC') AS http_date, ts = ts AS parsed FROM events")
 def date_functions(spark, sf_dir):
     ts = F.col("ts").cast("timestamp")
     iso = paths.index_date(ts)
     return table(spark, sf_dir, "events").select("event_id", iso.alias("index_date"), paths.http_date(ts).alias("http_date"), (paths.parse_date(iso) == ts).alias("parsed"))
 
 
-@query("SELECT '[' || string_agg('\"D' || doc_id || '\"', ',' ORDER BY 'D' || doc_id) || ']' AS bibcodes FROM labels")
+@query("SELECT doc_id // 100 AS batch, '[' || string_agg('\"D' || doc_id || '\"', ',' ORDER BY 'D' || doc_id) || ']' AS bibcodes FROM labels GROUP BY doc_id // 100")
 def written_keys(spark, sf_dir):
-    rows = table(spark, sf_dir, "labels").select(F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("bibcode"))
-    return assemble.written_keys(rows)
+    rows = table(spark, sf_dir, "labels").select("doc_id", F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("bibcode"))
+    return assemble.written_keys(rows, F.floor(F.col("doc_id") / 100))
 
 
-_TEXT = "'text of D' || doc_id"
+_ONE = f"CASE WHEN text IS NULL THEN 'no content' WHEN d.doc_id % 5 = 0 THEN 'unsupported format: pdf' END"
 
 
-@query(f"SELECT 'D' || doc_id AS bibcode, update_reason, CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN {_TEXT} || ' ' || {_TEXT} ELSE {_TEXT} END AS fulltext, CASE WHEN doc_id % 5 = 0 AND doc_id % 7 = 0 THEN 'unsupported format: pdf; unsupported format: pdf' WHEN doc_id % 5 = 0 THEN 'unsupported format: pdf' END AS error FROM {_DECIDED} WHERE update_reason NOT LIKE 'IGNORE%'")
+@query(f"""
+SELECT bibcode, update_reason, CASE WHEN d.doc_id % 5 = 0 OR text IS NULL THEN NULL WHEN d.doc_id % 7 = 0 THEN {words_sql(_PLAIN)} || ' ' || {words_sql(_PLAIN)} ELSE {words_sql(_PLAIN)} END AS fulltext,
+  CASE WHEN d.doc_id % 7 = 0 THEN {_ONE} || '; ' || {_ONE} ELSE {_ONE} END AS error
+FROM {_DECIDED} d JOIN documents t ON d.doc_id = t.doc_id WHERE update_reason NOT LIKE 'IGNORE%'""")
 def ingest_files(spark, sf_dir):
     decided = _decided(spark, sf_dir).where("selected")
-    text = F.concat(F.lit("text   of\n"), "bibcode")
-    raw = F.when(F.col("file_format") == "xml", F.concat(F.lit("<x><body>"), text, F.lit("</body></x>"))).otherwise(text)
-    content = decided.select(F.explode(paths.split_sources(F.col("ft_source"))).alias("path"), F.encode(raw, "UTF-8").alias("content"))
-    return pipeline.extracted(decided, content).select("bibcode", "update_reason", "fulltext", "error")
+    raw = F.when(F.col("file_format") == "xml", F.concat(F.lit("<x><body>"), _plain(), F.lit("</body></x>"))).otherwise(_plain())
+    held = decided.select("doc_id", "file_format", F.explode(paths.split_sources(F.col("ft_source"))).alias("path")).join(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return pipeline.extracted(decided, held.select("path", F.encode(raw, "UTF-8").alias("content"))).select("bibcode", "update_reason", "fulltext", "error")
 
 
 @query(f"SELECT doc_id, {words_sql('nfc_normalize(text)')} AS fulltext FROM documents")

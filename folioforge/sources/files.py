@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import META, STATS
+from .remote import HEADERS, Fetch
 
 
 def _local_stats(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -44,27 +45,36 @@ def contents(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.regexp_replace(F.col("path"), r"^[a-z0-9]+:(//[^/]*)?", "").alias("path"), "content")
 
 
-def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        for i in range(0, len(b), 16):
-            part = b.iloc[i : i + 16].copy()
-            part["content"] = [_bytes(p) for p in part["path"]]
-            yield part
+def _read(get: Fetch | None):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for i in range(0, len(b), 16):
+                part = b.iloc[i : i + 16].copy()
+                part["content"] = [_bytes(p, get) for p in part["path"]]
+                yield part
+
+    return run
 
 
-def _bytes(path: str) -> bytes | None:
+def _bytes(path: str, get: Fetch | None) -> bytes | None:
     try:
+        if get is not None and path.startswith(("http://", "https://")):
+            status, body = get(path, HEADERS)
+            return body.encode() if status == 200 else None
         with open(path, "rb") as f:
             return f.read()
-    except (OSError, TypeError):
+    except (OSError, TypeError, AttributeError):
         return None
 
 
-def with_content(records: DataFrame) -> DataFrame:
-    """Add the bytes at each record's ``path``; null where it can't be read. A few files are held at a time."""
+def with_content(records: DataFrame, get: Fetch | None = None) -> DataFrame:
+    """Add the bytes at each record's ``path``; null where it can't be read. A few files are held at a time.
+
+    get: fetches paths that are URLs (status, body); any status but 200 is null.
+    """
     kept = [c for c in records.columns if c != "content"]
     fields = ", ".join(f"`{c}` {records.schema[c].dataType.simpleString()}" for c in kept)
-    return records.select(*kept).mapInPandas(_read, f"{fields}, content binary")
+    return records.select(*kept).mapInPandas(_read(get), f"{fields}, content binary")
 
 
 def texts(spark: SparkSession, path: str) -> DataFrame:

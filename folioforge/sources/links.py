@@ -11,16 +11,21 @@ from ..operators.decide import force
 from ..schema import LINKS
 
 
+def _fields(value: str, separator: str) -> Column:
+    """Fields that aren't empty, of a line without the white space around it."""
+    return F.filter(F.split(F.regexp_replace(F.col(value), r"^\s+|\s+$", ""), separator), lambda x: x != "")
+
+
 def parse(lines: DataFrame, value: str = "value", separator: str = "\t") -> DataFrame:
     """(bibcode, ft_source, provider) of lines; empty fields are dropped, lines with fewer than three left out."""
-    fields = F.filter(F.split(F.trim(F.regexp_replace(F.col(value), r"^\s+|\s+$", "")), separator), lambda x: x != "")
+    fields = _fields(value, separator)
     return lines.withColumn("_f", fields).where(F.size("_f") >= 3).select(*[c for c in lines.columns if c != value], *[F.col("_f")[i].alias(n) for i, n in enumerate(("bibcode", "ft_source", "provider"))])
 
 
 def skipped(lines: DataFrame, value: str = "value") -> DataFrame:
     """Lines that aren't blank and still too short: to be reported."""
-    fields = F.filter(F.split(F.trim(F.col(value)), "\t"), lambda x: x != "")
-    return lines.where((F.size(fields) < 3) & (F.trim(F.col(value)) != ""))
+    n = F.size(_fields(value, "\t"))
+    return lines.where((n > 0) & (n < 3))
 
 
 def read(spark: SparkSession, path: str, extract: bool = False, send: bool = False) -> DataFrame:

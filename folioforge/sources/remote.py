@@ -33,6 +33,8 @@ def http_text(url: str, get: Fetch = fetch, since: str | None = None) -> dict:
 
 def run_tool(command: Sequence[str], content: bytes, seconds: float = PDF_SECONDS) -> bytes:
     """Standard output of a tool given a file; its standard error if it fails."""
+    if not content:
+        raise OSError("exit status 127: no file")
     with tempfile.NamedTemporaryFile(suffix=".pdf") as f:
         f.write(content)
         f.flush()

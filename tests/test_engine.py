@@ -72,6 +72,23 @@ def test_ingest_end_to_end(spark, tmp_path):
     assert "fulltext" not in stored.first()["value"]
 
 
+def test_records_listed_twice_and_urls(spark):
+    rows = [("a", "/x/y/a.txt", None, 1), ("a", "/x/y/a.txt", None, 2), ("a", "/x/y/b.txt,/x/y/a.txt", "P", 3), ("u", "http://h/p", "P", 4)]
+    records = spark.createDataFrame([(b, s, p, str(k), "", "", "http" if s[0] == "h" else "txt") for b, s, p, k in rows], "bibcode string, ft_source string, provider string, update_reason string, meta_path string, index_date string, file_format string")
+    content = spark.createDataFrame([("/x/y/a.txt", bytearray(b"hello")), ("/x/y/b.txt", bytearray(b"more"))], "path string, content binary")
+    got = {r["update_reason"]: r["fulltext"] for r in pipeline.extracted(records, content).collect()}
+    assert got == {"1": "hello", "2": "hello", "3": "more hello", "4": None}
+    web = pipeline.extracted(records.where("file_format = 'http'"), get=lambda url, headers: (200, f"page  of {url}"))
+    assert [r["fulltext"] for r in web.collect()] == ["page of http://h/p"]
+    gone = pipeline.extracted(records.where("file_format = 'http'"), get=lambda url, headers: (404, "")).first()
+    assert gone["fulltext"] is None and gone["error"] == "no content"
+
+
+def test_blank_lines_are_not_reported(spark):
+    lines = spark.createDataFrame([("\t \t",), ("",), ("a\tb",), (None,), (" a\tb\tc ",)], "value string")
+    assert [r[0] for r in links.skipped(lines).collect()] == ["a\tb"]
+
+
 def test_force_send_is_not_written_twice(spark):
     rows = spark.createDataFrame([("a", "FORCE_TO_SEND"), ("b", "FORCE_TO_SEND"), ("a", "STALE_META")], "bibcode string, update_reason string")
     there = spark.createDataFrame([("a", True, True)], "bibcode string, has_meta boolean, has_fulltext boolean")

@@ -7,22 +7,59 @@ from folioforge.operators import ner
 from folioforge.operators.tree import parse, select
 from folioforge.sources import remote
 
-ARTICLE = """<?xml encoding="iso-8859-1"?><!DOCTYPE article>
-<article><front><title>T</title></front><!-- body <body><sec><title>I. INTRO</title><p>TEXT <inline-formula>f</inline-formula> TAIL <italic>end</italic>.
-&angst; &amp; &gt; <!-- gone --> <![CDATA[gone]]> <?pi gone > ?></p>
-<table-wrap><label>TABLE I.</label><table><tr><td>cell</td></tr></table><graphic xlink:href="g"/> NOTES</table-wrap></sec>
-<named-content xlink:href="D/1" content-type="dataset"/><named-content xlink:href="D/2" content-type="dataset"/>
-<ack>ACK INSIDE</ack></body> endbody -->
-<back id="z"><ack><title>Thanks</title><p>ALL.</p><named-content content-type="facility">n</named-content><named-content xlink:href="" content-type="facility"/><named-content xlink:href="F3" content-type="facility"/></ack>
-<app-group><p>APPENDIX</p></app-group><ref-list>refs</ref-list></back></article>"""
-
-
-def test_xml_fields():
-    out = X.xml_fields(ARTICLE)
-    assert out["fulltext"] == "I. INTRO TEXT TAIL end . Å > TABLE I. NOTES\nAPPENDIX"
-    assert out["acknowledgements"] == "ACK INSIDE"
-    assert out["dataset"] == ["D/1", "D/2"]
-    assert out["facility"] == ["F3"]
+DEEP = 3000
+
+
+def article(broken=False):
+    """An article of our own: entities, formulas, a table in a paragraph, nested sections; broken: end tags that match nothing."""
+    stray = "</sup></nothing>" if broken else ""
+    return (
+        f'<paper><body><sec id="1"><head>Tides</head>{stray}<par>Flow&hellip; of <formula>x<sub>2</sub></formula>water &nosuch;&#955;and '
+        "<table><row>12</row></table>ice</par></sec><sec><sec><par>Deeper&eacute;</par></sec></sec>"
+        '<named-content content-type="dataset" xlink:href=" set 9 "/><named-content content-type="dataset" xlink:href="None"/></body>'
+        '<back><ack>We thank <named-content content-type="facility" xlink:href="dish-4">the dish</named-content></ack> and others'
+        "<app-group>More on tides</app-group><bibliography><ref>ref 1</ref></bibliography></back></paper>"
+    )
+
+
+@pytest.mark.parametrize("broken", [False, True])
+def test_xml_fields(broken):
+    assert X.xml_fields(article(broken)) == {
+        "fulltext": "Tides Flow... of water and ice Deeper\u00e9\nMore on tides",
+        "acknowledgements": "We thank the dish",
+        "dataset": ["set 9"],
+        "facility": ["dish-4"],
+    }
+
+
+def test_deep_nesting():
+    raw = "<q>" * DEEP + "no rule finds this" + "</q>" * DEEP
+    assert X.xml_fields(raw) == {"fulltext": "", "acknowledgements": ""}  # by way of both parsers
+    assert X.xml_fields("<body>" + raw + "</body>")["fulltext"] == "no rule finds this"
+    assert X.html_text(raw) == "no rule finds this"
+
+
+@pytest.mark.parametrize("name", ["utf-8", "iso-8859-7", "windows-1251", "utf-16"])
+def test_charsets(name):
+    text = "\u03c9\u03c1\u03b1" if name == "iso-8859-7" else "\u0447\u0430\u0441"
+    raw = f'<?xml version="1.0" encoding="{name}"?><body>{text}</body>'.encode(name)
+    assert X.extract_one("xml", raw)["fulltext"] == text
+
+
+def test_a_bad_document_stops_nothing(spark, monkeypatch):
+    def failing(text, *_):
+        if "bad" in text:
+            raise RuntimeError("unreadable")
+        return {"fulltext": text}
+
+    monkeypatch.setattr(X, "xml_fields", failing)
+    rows = spark.createDataFrame([(1, "good"), (2, "bad"), (3, None)], "id int, t string")
+    got = {r["id"]: r["x"] for r in rows.select("id", X.fields_udf("xml")("t").alias("x")).collect()}
+    assert got[1]["fulltext"] == "good" and got[1]["error"] is None
+    assert got[2]["fulltext"] is None and got[2]["error"] == "RuntimeError: unreadable"
+    assert got[3]["fulltext"] is None and got[3]["error"] is None
+    halves = X.field_udf(lambda t: t if t == "good" else 1 / 0)
+    assert [r[0] for r in rows.orderBy("id").select(halves("t")).collect()] == ["good", None, None]
 
 
 def test_later_paths_are_dropped_after_a_duplicate():

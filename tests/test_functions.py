@@ -45,19 +45,20 @@ def test_entities():
 def test_native_entities_equal_the_table(spark):
     texts = ["", "&", "&&copy;;", "a&copy;b&#12;c", "&copy &copy;", "&unknown;x", "&é;y"]
     known = {"copy": "©"}
-    expected = [re.sub(r"&(#x[\da-fA-F]+|#\d+|\w+);", lambda m: known.get(m[1], ""), t) for t in texts]
+    expected = [re.sub(r"&(#\d+|#x[0-9a-fA-F]+|\w+);", lambda m: known.get(m[1], ""), t) for t in texts]
     assert column(spark, texts, lambda c: markup.decode_few_references(c, known)) == expected
 
 
 @pytest.mark.parametrize(
     ("f", "text", "expected"),
     [
-        (markup.unwrap_body, "<!-- body <body><q>inner text</q></body> endbody -->", "<body><q>inner text</q></body> "),
-        (markup.strip_comments, "a<!-- x\n -->b<!-->c-->d", "abd"),
-        (markup.strip_cdata, "a<![CDATA[ <b>]] ]]>c", "ac"),
-        (markup.strip_instructions, "<?x > ?>y", "y"),
-        (markup.expand_empty_tags, '<g a="1"/><h />', '<g a="1"></g><h ></h>'),
-        (markup.declare_utf8, '<?xml encoding="x"?>', '<?xml encoding="UTF-8"?>'),
+        (markup.unwrap_body, "x<!--body\n<sec>1 endbody 2</sec>endbody-->y", "x<sec>1 endbody 2</sec>y"),
+        (markup.unwrap_body, "<!-- no such thing -->", "<!-- no such thing -->"),
+        (markup.strip_comments, "one<!---->two<!-- <!-- three -->four<!-- open", "onetwofour<!-- open"),
+        (markup.strip_cdata, "<f><![CDATA[x]]>1<![CDATA[]]></f>", "<f>1</f>"),
+        (markup.strip_instructions, "<?a?><?b\n?>1 <? c", "1 <? c"),
+        (markup.expand_empty_tags, "<br/><img src='u/v' /><p>1</p>", "<br></br><img src='u/v' ></img><p>1</p>"),
+        (markup.declare_utf8, "<?xml version='1.0' encoding=\"utf-16\"?><a encoding=\"b\"/>", "<?xml version='1.0' encoding=\"UTF-8\"?><a encoding=\"b\"/>"),
     ],
 )
 def test_markup(spark, f, text, expected):
@@ -80,6 +81,12 @@ def test_paths(spark):
     assert formats == ["txt", "", "", "http", "", "gz"]
 
 
+def test_date_forms(spark):
+    forms = ["2020-01-02T00:00:00Z", "2020-01-02", "Thu, 2 Jan 2020 00:00:00 UTC", "2 Jan 2020", "Jan 2, 2020", "January 2, 2020", "2020/01/02", "01/02/2020", "20200102", "20200102T000000", " 2020-01-02 "]
+    assert {str(x)[:10] for x in column(spark, forms, paths.parse_date)} == {"2020-01-02"}
+    assert set(column(spark, ["12", "soon", "", "2020-13-45"], paths.parse_date)) == {None}
+
+
 def test_dates(spark):
     assert [x is not None for x in column(spark, ["2020-01-02T03:04:05Z", "junk", None], paths.parse_date)] == [True, False, False]
     stamp = spark.range(1).select(paths.index_date().alias("d")).first()[0]
