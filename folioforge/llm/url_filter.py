@@ -4,7 +4,9 @@
 subdomains share is a prefix of the key, so an interval in sort order, and intervals are
 nested or apart. Keys (with path and id, so that one host may span many partitions) are
 dealt out in ranges; each rule goes to the ranges that its interval touches. A sweep of a
-sorted range then keeps the stack of rules whose interval holds the present key.
+sorted range then keeps the stack of rules whose interval holds the present key. The paths of a host's rules are
+nested intervals in the same way: sorted, each with a link to the longest that it begins with, so a url's path is found
+by bisection and at most as many links as rules are nested.
 """
 
 from __future__ import annotations
@@ -19,8 +21,9 @@ from pyspark.sql import functions as F
 
 from .common import partitions
 
-#: keys that the driver gets to choose range bounds from, for each range
+#: keys that the driver gets to choose range bounds from, for each range, and how much of each
 SAMPLED = 64
+BOUND_CHARS = 512
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"))
 
 
@@ -57,9 +60,35 @@ def _place(bounds: list[str]):
     return run
 
 
+class Paths:
+    """The path rules of one host, of which the longest that a path begins with is wanted."""
+
+    def __init__(self):
+        self.rules: dict[str, tuple[str, str]] = {}
+        self.order: list[str] | None = None
+
+    def add(self, path: str, rule: str, verdict: str) -> None:
+        self.rules.setdefault(path, (rule, verdict))
+        self.order = None
+
+    def find(self, path: str) -> tuple[str, str] | None:
+        if self.order is None:
+            self.order, self.within, stack = sorted(self.rules), [], []
+            for i, p in enumerate(self.order):
+                while stack and not p.startswith(self.order[stack[-1]]):
+                    stack.pop()
+                self.within.append(stack[-1] if stack else -1)
+                stack.append(i)
+        # what path begins with is the last one sorted before it, or what that one begins with
+        at = bisect_right(self.order, path) - 1
+        while at >= 0 and not path.startswith(self.order[at]):
+            at = self.within[at]
+        return self.rules[self.order[at]] if at >= 0 else None
+
+
 def _sweep(default: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, stack = None, []  # of (key, {path: (rule, verdict)}), each key a prefix of the next
+        now, stack = None, []  # of (key, its paths), each key a prefix of the next
         for batch in batches:
             rules, verdicts = [], []
             named = zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True)
@@ -71,15 +100,10 @@ def _sweep(default: str):
                     stack.pop()
                 if is_rule:
                     if not stack or stack[-1][0] != key:
-                        stack.append((key, {}))
-                    stack[-1][1].setdefault(path, (rule, verdict))
+                        stack.append((key, Paths()))
+                    stack[-1][1].add(path, rule, verdict)
                     continue
-                found = (None, default)
-                for _, paths in reversed(stack):
-                    fits = [p for p in paths if path.startswith(p)]
-                    if fits:
-                        found = paths[max(fits, key=len)]
-                        break
+                found = next((f for _, paths in reversed(stack) if (f := paths.find(path))), (None, default))
                 keep.append(r)
                 rules.append(found[0])
                 verdicts.append(found[1])
@@ -106,7 +130,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     share = min(1.0, SAMPLED * n / max(total, 1))
     # a bounded sample by hash, alike in each run, only to place the bounds of the ranges
     picked = keyed.where(F.pmod(F.xxhash64("key", "path", "tie"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    whole = sorted(r[0] for r in picked.select(F.concat_ws("\0", "key", "path", F.col("tie").cast("string"))).collect())
+    whole = sorted(r[0] for r in picked.select(F.substring(F.concat_ws("\0", "key", "path", F.col("tie").cast("string")), 1, BOUND_CHARS)).collect())
     bounds = sorted({whole[i * len(whole) // n] for i in range(1, n)}) if whole else []
     places = keyed.mapInArrow(_place(bounds), "range int, key string, path string, tie long, page_id long, host string")
     named = rules.where("host is not null and host <> ''").select(F.lit(True).alias("is_rule"), key_of("host").alias("key"), F.coalesce("path", F.lit("")).alias("path"), F.concat(F.col("host"), F.coalesce("path", F.lit(""))).alias("rule"), "verdict")
