@@ -17,6 +17,8 @@ MOST = 3
 SEED = "mix-1"
 #: above so many sources they're numbered and joined without a single task or a broadcast
 FEW_SOURCES = 50_000
+#: sources with more than this part of all rows are joined apart where there are many sources
+HOT_SOURCES = 1000
 
 
 def size_of(text="text"):
@@ -73,9 +75,21 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST,
     """
     taken = {"size", "source_size", "target", "copies"}
     docs = docs.drop(*[c for c in docs.columns if c in taken]).withColumn("size", size_of())
-    sizes = docs.groupBy(F.col("source").cast("string").alias("source")).agg(F.sum("size").alias("source_size"))
-    shares = targets(sizes, weights, most).withColumnRenamed("source", "_source")
-    joined = docs.join(shares, docs["source"].cast("string").eqNullSafe(F.col("_source"))).drop("_source")
+    sizes = checkpointed(docs.groupBy(F.col("source").cast("string").alias("source")).agg(F.sum("size").alias("source_size"), F.count("*").alias("rows")))
+    n, total = sizes.agg(F.count("*"), F.sum("rows")).first()
+    own = "_source"
+    while own in docs.columns:
+        own += "_"
+    shares = targets(sizes.select("source", "source_size"), weights, most).withColumnRenamed("source", own)
+    named = docs["source"].cast("string").eqNullSafe(F.col(own))
+    if n <= FEW_SOURCES:
+        joined = docs.join(shares, named)
+    else:
+        # at most HOT_SOURCES have more than that part of all rows; their rows stay where they are
+        hot = sizes.where(F.col("rows") * HOT_SOURCES > total).select(F.col("source").alias(own))
+        hot_shares = shares.alias("s").join(F.broadcast(hot.alias("h")), F.col(f"s.{own}").eqNullSafe(F.col(f"h.{own}")), "left_semi")
+        joined = docs.join(F.broadcast(hot_shares), named).unionByName(docs.join(F.broadcast(hot), named, "left_anti").join(shares, named))
+    joined = joined.drop(own)
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))).otherwise(0.0)
     draw = F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13), 16, 10).cast("double") / float(1 << 52)
     copies = F.when(F.col("size") > 0, F.floor(rate) + (draw < rate - F.floor(rate)).cast("long")).otherwise(0)
