@@ -3,7 +3,11 @@
 Of an item of m characters, what lies within e edits shares at least m + 1 - q (e + 1)
 q-grams with it, all on diagonals (place in text less place in item) no more than e apart. So
 shared q-grams are counted in bands of 2 (e + 1) diagonals that overlap by half; a band
-that reaches the bound is retained and verified by banded alignment.
+that reaches the bound is retained and verified by alignment within that band, widened by the edits allowed.
+
+A q-gram that an item repeats at near places (less than e + 1 apart) is held once with its number, and counts in
+both bands that it may lie in: never too little, so nothing is lost, and no run of one character brings the square of its
+length. Short items, which leave no q-gram certain, are searched for as they stand.
 
 The benchmark's q-grams are taken in blocks of at most about ``BLOCK_CHARS``
 characters, each sent to the executors in turn, so what's broadcast has a fixed bound and texts never move.
@@ -29,6 +33,10 @@ RATE = 0.1
 BLOCK_CHARS = 4_000_000
 _BASE = 0x9E3779B97F4A7C15
 _BITS = 22
+#: postings that are expanded at a time, about
+_POSTINGS = 1 << 19
+#: no character
+_NONE = np.uint32(0xFFFFFFFF)
 _WHITE = re.compile(r"\s+")
 
 
@@ -68,40 +76,61 @@ class Index:
         self.bound = np.maximum(1, self.sizes + 1 - Q * (self.edits + 1))
         hs = [_hashes(_codes(t)) for _, t in long]
         h = np.concatenate(hs) if hs else np.zeros(0, np.uint64)
-        item = np.repeat(np.arange(len(hs)), [len(x) for x in hs])
+        item = np.repeat(np.arange(len(hs)), [len(x) for x in hs]).astype(np.int64)
         at = np.concatenate([np.arange(len(x)) for x in hs]) if hs else np.zeros(0, np.int64)
-        order = np.argsort(h, kind="stable")
-        self.item, self.at = item[order].astype(np.int64), at[order].astype(np.int64)
-        self.grams, self.begin = np.unique(h[order], return_index=True)
-        self.begin = np.append(self.begin, len(h))
+        cell = at // (self.edits[item] + 1)
+        order = np.lexsort((at, item, h))
+        h, item, at, cell = h[order], item[order], at[order], cell[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (item[1:] != item[:-1]) | (cell[1:] != cell[:-1])
+        first = np.flatnonzero(new)
+        #: how often the item has the gram in this cell; if more than once, ``at`` is where the cell begins
+        self.times = np.diff(np.append(first, len(h)))
+        self.item = item[first]
+        self.at = np.where(self.times > 1, cell[first] * (self.edits[self.item] + 1), at[first])
+        self.grams, self.begin = np.unique(h[first], return_index=True)
+        self.begin = np.append(self.begin, len(first))
         self.maybe = np.zeros(1 << _BITS, bool)
         self.maybe[(self.grams >> np.uint64(64 - _BITS)).astype(np.int64)] = True
 
 
-def align(item: str, text: str, most: int) -> tuple[int, int, int] | None:
+def align(item: str, text: str, most: int, low: int | None = None, high: int | None = None) -> tuple[int, int, int] | None:
     """(edits, start, end) of the best place of item in text with ``most`` edits or fewer; ties: the first end, then the longest.
 
-    Rows of the alignment are computed over the whole band that text spans; a gap within a
-    row is closed by a running minimum.
+    Only the diagonals (place in text less place in item) from low to high are looked at; by default all. A row of the
+    alignment holds one cell a diagonal; gaps within a row are closed by a running minimum.
     """
     a, b = _codes(item), _codes(text)
-    n = len(b)
-    step = np.arange(n + 1)
-    cost = np.zeros(n + 1, np.int64)
-    start = step.copy()
-    scale = n + 2  # cost * scale + (start): of equal costs, the earliest start
-    now = cost * scale + start
-    for k, c in enumerate(a):
-        diag = now[:-1] + scale * (b != c)
-        nxt = now + scale
-        np.minimum(nxt[1:], diag, out=nxt[1:])
-        nxt = np.minimum.accumulate(nxt - scale * step) + scale * step
-        now = nxt
-        if k % 32 == 31 and now.min() // scale > most:
+    m, n = len(a), len(b)
+    low = -m if low is None else max(low, -m)
+    high = n if high is None else min(high, n)
+    if low > high:
+        return None
+    width = high - low + 1
+    ahead = max(0, -low)
+    wide = np.full(ahead + m + max(high, 0) + 1, _NONE, np.uint32)  # wide[ahead + j] is text[j]
+    wide[ahead : ahead + min(n, len(wide) - ahead)] = b[: len(wide) - ahead]
+    step, big = np.arange(width), 1 << 60
+    scale = n + 2  # cost * scale + start: of equal costs, the earliest start
+    place = step + low
+    now = np.where(place >= 0, place, big)
+    for i, c in enumerate(a):
+        text_at = wide[ahead + low + i : ahead + low + i + width] if ahead + low + i >= 0 else np.full(width, _NONE, np.uint32)
+        nxt = now + scale * (text_at != c)
+        np.minimum(nxt[:-1], now[1:] + scale, out=nxt[:-1])
+        place = place + 1
+        np.copyto(nxt, big, where=(place < 0) | (place > n))
+        if low + i < 0:  # an alignment may begin by leaving out signs of the item
+            at = -low - i - 1
+            if 0 <= at < width:
+                nxt[at] = min(nxt[at], scale * (i + 1))
+        now = np.minimum.accumulate(nxt - scale * step) + scale * step
+        np.copyto(now, big, where=place > n)
+        if i % 32 == 31 and now.min() // scale > most:
             return None
     edits = now // scale
-    end = int(edits.argmin())
-    return (int(edits[end]), int(now[end] % scale), end) if edits[end] <= most else None
+    best = int(edits.argmin())
+    return (int(edits[best]), int(now[best] % scale), int(place[best])) if edits[best] <= most else None
 
 
 def search(index: Index, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
@@ -128,37 +157,59 @@ def _by_grams(index: Index, texts: list[str]) -> list[tuple[int, int, int, int,
     inside = at + Q <= offset[row + 1]
     at, slot, row = at[inside], slot[inside], row[inside]
     counts = index.begin[slot + 1] - index.begin[slot]
-    post = np.repeat(index.begin[slot] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-    item, at, row = index.item[post], np.repeat(at, counts), np.repeat(row, counts)
-    diagonal = at - offset[row] - index.at[post]
-    width = index.edits[item] + 1
-    band = diagonal // width  # from band * width, over 2 * width diagonals, with the band before
-    pair = row * len(index.sizes) + item
+    ends, parts, i = np.cumsum(counts), [], 0
+    while i < len(at):  # about _POSTINGS of them at a time
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + _POSTINGS, "right")))
+        parts.append(_bands(index, at[i:j] - offset[row[i:j]], row[i:j], slot[i:j], counts[i:j]))
+        if len(parts) > 1 and sum(len(x[0]) for x in parts) > _POSTINGS:
+            parts = [_summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))]
+        i = j
+    pair, band, n = _summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
     found: dict[tuple[int, int], tuple[int, int, int]] = {}
-    order = np.lexsort((band, pair))
-    pair, band = pair[order], band[order]
-    new = np.ones(len(pair), bool)
-    new[1:] = (pair[1:] != pair[:-1]) | (band[1:] != band[:-1])
-    first = np.flatnonzero(new)
-    n = np.diff(np.append(first, len(pair)))
-    pair, band = pair[first], band[first]
+    tried: set[tuple[int, int]] = set()
     both = n.copy()  # of this band and the next
     follows = np.flatnonzero((pair[1:] == pair[:-1]) & (band[1:] == band[:-1] + 1))
     both[follows] += n[follows + 1]
     for k in np.flatnonzero(both >= index.bound[pair % len(index.sizes)]).tolist():
         r, i = divmod(int(pair[k]), len(index.sizes))
         w, m = int(index.edits[i]) + 1, int(index.sizes[i])
-        low = max(0, int(band[k]) * w - w)
-        high = min(int(length[r]), (int(band[k]) + 2) * w + m + w)
-        region = texts[r][low:high]
-        exact = region.find(index.items[i][1])
-        got = (0, exact, exact + m) if exact >= 0 else align(index.items[i][1], region, w - 1)
+        if (r, i) not in tried:
+            tried.add((r, i))
+            exact = texts[r].find(index.items[i][1])
+            if exact >= 0:
+                found[r, i] = 0, exact, exact + m
+        if found.get((r, i), (1,))[0] == 0:
+            continue  # nothing is better than the first exact place
+        least = int(band[k]) * w - w  # the first diagonal of the widened band; the last is 4 w further
+        low, high = max(0, least), min(int(length[r]), least + 4 * w + m)
+        got = align(index.items[i][1], texts[r][low:high], w - 1, least - low, least + 4 * w - low)
         if got:
             best = (got[0], low + got[1], low + got[2])
             found[r, i] = min(found.get((r, i), best), best)
     return [(r, i, s, e, d) for (r, i), (d, s, e) in found.items()]
 
 
+def _bands(index: Index, at: np.ndarray, row: np.ndarray, slot: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pair of text and item, band, shared q-grams) of some q-grams at their places in their texts."""
+    post = np.repeat(index.begin[slot] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+    item, times = index.item[post], index.times[post]
+    width = index.edits[item] + 1
+    # from band * width, over 2 * width diagonals, with the band before
+    band = (np.repeat(at, counts) - index.at[post]) // width
+    pair = np.repeat(row, counts) * len(index.sizes) + item
+    many = np.flatnonzero(times > 1)
+    return _summed(np.concatenate([pair, pair[many]]), np.concatenate([band, band[many] - 1]), np.concatenate([times, times[many]]))
+
+
+def _summed(pair: np.ndarray, band: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.lexsort((band, pair))
+    pair, band, n = pair[order], band[order], n[order]
+    new = np.ones(len(pair), bool)
+    new[1:] = (pair[1:] != pair[:-1]) | (band[1:] != band[:-1])
+    first = np.flatnonzero(new)
+    return pair[first], band[first], np.add.reduceat(n, first) if len(first) else n
+
+
 def _scan(index, id_kind: pa.DataType):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix: Index = index.value
