@@ -45,7 +45,16 @@ def stored(df: DataFrame) -> DataFrame:
     with shuffles_dropped(spark):
         df.select("*").write.parquet(path)
     _tables.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables made by ``stored`` on which nothing that is still to be computed depends."""
+    for t in tables:
+        _delete(t.sparkSession, t._stored_at)
+        _tables.remove((t.sparkSession, t._stored_at))
 
 
 _tables: list[tuple[SparkSession, str]] = []
@@ -55,13 +64,16 @@ _tables: list[tuple[SparkSession, str]] = []
 def _remove_tables() -> None:
     for spark, path in _tables:
         try:
-            jvm = spark.sparkContext._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            _delete(spark, path)
         except Exception:  # the application may have ended already
             return
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 @contextlib.contextmanager
 def shuffles_dropped(spark: SparkSession):
     """Queries made and run inside leave no shuffle files behind."""

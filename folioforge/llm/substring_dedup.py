@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, stored
+from .common import discard, partitions, stored
 from .kernel import Words, mix, pieces, signed
 
 WINDOW = 13
@@ -218,8 +218,8 @@ def _judged(docs: DataFrame, carried, with_text: bool) -> DataFrame:
     copies = stored(later.where("copied").join(texts.groupBy("d").agg(F.count("*").alias("of")), "d").where("n = of").select("d"))
     blocks = stored(plain.mapInArrow(_blocks, "h long, d long").groupBy("h").agg(F.min("d").alias("least"), F.count("*").alias("n")))
     # by way of a table, as a collected limit would send the driver HOT_BLOCKS rows of each partition
-    hot = stored(blocks.where(F.col("n") >= HOT_TEXTS).orderBy(F.desc("n"), "h").limit(HOT_BLOCKS).select("h", "least")).collect()
-    hot.sort()
+    most = stored(blocks.where(F.col("n") >= HOT_TEXTS).orderBy(F.desc("n"), "h").limit(HOT_BLOCKS).select("h", "least"))
+    hot = sorted(most.collect())
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast((np.array([r[0] for r in hot], np.int64), np.array([r[1] for r in hot], np.int64)))
     shares = max(partitions(spark), -(-blocks.count() // SHARE))
@@ -231,9 +231,11 @@ def _judged(docs: DataFrame, carried, with_text: bool) -> DataFrame:
     hits = met.select(F.coalesce("hot", "k").alias("h"), "d", F.coalesce("hot_least", "least").alias("least")).join(copies, "d", "left_anti")
     # a text with a hit, and the first text that holds the block, are both looked at closer
     flagged = stored(hits.select("h", F.explode(F.array("d", "least")).alias("d")).groupBy("d").agg(F.collect_set("h").alias("flags")))
+    discard(same, blocks, most)
     near = stored(plain.join(flagged, "d").select("d", "text", "flags").mapInArrow(_candidates, "h0 long, h1 long, d long"))
     least = near.groupBy("h0", "h1").agg(F.min("d").alias("least"), F.max("d").alias("most")).where("most > least").select("h0", "h1", "least")
     marks = stored(near.join(least, ["h0", "h1"]).where("d > least").groupBy("d").agg(F.collect_set(F.struct("h0", "h1")).alias("marks")))
+    discard(flagged, near)
     none = F.array().cast("array<struct<h0:long,h1:long>>")
     gone = marks.select("d", "marks", F.lit(False).alias("whole")).unionByName(copies.select("d", none.alias("marks"), F.lit(True).alias("whole")))
     marked = texts.join(gone, "d", "left").select(name, "text", F.coalesce("marks", none).alias("marks"), F.coalesce("whole", F.lit(False)).alias("whole"))
