@@ -7,10 +7,12 @@ candidate, and the whole sets are compared. The order only decides how many cand
 sample come last, the others go by hash.
 
 Large groups of near copies don't bring all their pairs. At first each text meets only the ``LEADS`` leaders of its shingle's
-group (those least by a hash of their keys, so mostly the same in all groups of a cluster). What those links join is labelled,
-and then all pairs of differing labels are candidates: what is left unlinked is unlike, or joined by others. A shingle
-with over ``HOT`` texts has one leader, found by aggregation; of its texts those outside of its most frequent label
-are sent to each of its shares, so no task gets more than HOT of the others.
+group (those least by a hash of their keys, so mostly the same in all groups of a cluster). What those links join is labelled.
+Of the rest only texts that may be like one of another label go on, each with the parity bits of its set. Of the pairs in
+a group that pass by their bits, a spanning forest of the labels is compared, the most alike first, so no more pairs than
+rows; what it joins is labelled anew. Then all pairs of differing labels that pass and weren't compared are candidates: what is
+left unlinked is unlike, or joined by others. A shingle with over ``HOT`` texts has one leader, found by aggregation; of its texts
+those outside of its most frequent label are sent to each of its shares, so no task gets more than HOT of the others.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 from . import graph
 from .common import checkpointed, discard, stored
 from .kernel import Words, pieces, ranges_hash, signed
+from .simhash import _Forest
 
 K = 5
 SAMPLE = 20_000
@@ -136,30 +139,92 @@ def _led(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(cols, ["h", "n", "pos", "key", *(f"l{j}" for j in range(LEADS))])
 
 
+def _pairs(cols: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(x, y, part, flips) by shares: rows of one group whose labels differ and that may be alike.
+
+    part numbers the runs of group and label. Where rows have parity bits, pairs that differ in too many are left out.
+    """
+    g, label, n, pos, key = cols[:5]
+    bits = np.frombuffer(b"".join(cols[5]), np.uint64).reshape(len(g), -1) if len(cols) > 5 else np.zeros((len(g), 0), np.uint64)
+    n = n.astype(np.int64)
+    left = n - pos
+    new = np.concatenate(([True], g[1:] != g[:-1]))
+    turn = new | np.concatenate(([True], label[1:] != label[:-1]))
+    edge, first = np.flatnonzero(new), np.flatnonzero(turn)
+    part = np.cumsum(turn) - 1
+    end = np.repeat(np.append(edge[1:], len(g)), np.diff(np.append(edge, len(g))))
+    own = np.repeat(np.append(first[1:], len(g)), np.diff(np.append(first, len(g))))
+    count = end - own  # partners come after a row's own label
+    some = np.flatnonzero(count)
+    cuts = np.searchsorted(np.cumsum(count[some]), np.arange(_PAIRS, count.sum() + _PAIRS, _PAIRS), "right") if len(some) else []
+    at = 0
+    for cut in [*cuts, len(some)]:
+        rows = some[at : max(cut, at + 1)]
+        at = max(cut, at + 1)
+        if not len(rows):
+            continue
+        many = count[rows]
+        x = np.repeat(rows, many)
+        y = np.arange(len(x)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(own[rows], many)
+        fits = _may(n[x], left[x], n[y], left[y]) & (key[x] != key[y])
+        x, y = x[fits], y[fits]
+        flips = np.zeros(len(x), np.int64)
+        for w in range(bits.shape[1]):
+            flips += np.bitwise_count(bits[x, w] ^ bits[y, w])
+        alike = 9 * flips <= n[x] + n[y]
+        yield x[alike], y[alike], part, flips[alike]
+
+
+def _ordered(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+
 def _across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of keys of a group (rows by group and label) whose labels differ and that may be alike."""
-    for g, label, n, pos, key in _whole(batches):
-        n = n.astype(np.int64)
-        left = n - pos
-        new = np.concatenate(([True], g[1:] != g[:-1]))
-        edge, part = np.flatnonzero(new), np.flatnonzero(new | np.concatenate(([True], label[1:] != label[:-1])))
-        end = np.repeat(np.append(edge[1:], len(g)), np.diff(np.append(edge, len(g))))
-        own = np.repeat(np.append(part[1:], len(g)), np.diff(np.append(part, len(g))))
-        count = end - own  # partners come after a row's own label
-        some = np.flatnonzero(count)
-        cuts = np.searchsorted(np.cumsum(count[some]), np.arange(_PAIRS, count.sum() + _PAIRS, _PAIRS), "right") if len(some) else []
-        at = 0
-        for cut in [*cuts, len(some)]:
-            rows = some[at : max(cut, at + 1)]
-            at = max(cut, at + 1)
-            if not len(rows):
-                continue
-            many = count[rows]
-            x = np.repeat(rows, many)
-            y = np.arange(len(x)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(own[rows], many)
-            fits = _may(n[x], left[x], n[y], left[y]) & (key[x] != key[y])
-            x, y = key[x[fits]], key[y[fits]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+    for cols in _whole(batches):
+        for x, y, _, _ in _pairs(cols):
+            yield _ordered(cols[4][x], cols[4][y])
+
+
+def _forest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the pairs that ``_across`` gives, those that join the labels of a group: fewer than it has labels, the most alike first."""
+    for cols in _whole(batches):
+        n, key = cols[2].astype(np.int64), cols[4]
+        up = None
+        for x, y, part, flips in _pairs(cols):
+            up = up or _Forest(int(part[-1]) + 1)
+            unlike = flips / (n[x] + n[y])
+            order = np.lexsort((unlike, part[y], part[x]))
+            p, q = part[x[order]], part[y[order]]
+            best = order[np.concatenate(([True], (p[1:] != p[:-1]) | (q[1:] != q[:-1])))] if len(order) else order
+            best = best[np.argsort(unlike[best], kind="stable")]
+            taken = [i for i, p, q in zip(best.tolist(), part[x[best]].tolist(), part[y[best]].tolist(), strict=True) if up.join(p, q)]
+            yield _ordered(key[x[taken]], key[y[taken]])
+
+
+def _open(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (by group and label) that may be like a row of their group that has another label."""
+    for cols in _whole(batches):
+        open_ = np.zeros(len(cols[0]), bool)
+        for x, y, _, _ in _pairs(cols):
+            open_[x] = open_[y] = True
+        yield pa.RecordBatch.from_arrays([pa.array(c[open_]) for c in cols], ["g", "label", "n", "pos", "key"])
+
+
+def _parity(rows: np.ndarray, h: np.ndarray, count: int) -> np.ndarray:
+    """Parity bits of each of count sets of shingles: a shingle flips the bit that its hash names."""
+    bits = np.zeros((count, WORDS), np.uint64)
+    np.bitwise_xor.at(bits, (rows, (h >> np.uint64(6)).astype(np.int64) % WORDS), np.uint64(1) << (h & np.uint64(63)))
+    return bits
+
+
+def _sketches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, bits): parity bits of each text."""
+    for batch in batches:
+        for i, j in pieces(batch.column(1)):
+            _, rows, h = shingle_sets(batch.column(1).slice(i, j - i), np.zeros(0, np.uint64))
+            bits = [x.tobytes() for x in _parity(rows, h, j - i)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(bits, pa.binary())], ["key", "bits"])
 
 
 def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,8 +244,7 @@ def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             part = part.take(pa.array(fresh))
             first, rows, h = shingle_sets(part.column(1), np.zeros(0, np.uint64))
-            bits = np.zeros((len(fresh), WORDS), np.uint64)
-            np.bitwise_xor.at(bits, (rows, (h >> np.uint64(6)).astype(np.int64) % WORDS), np.uint64(1) << (h & np.uint64(63)))
+            bits = _parity(rows, h, len(fresh))
             each = pa.ListArray.from_arrays(pa.array(np.arange(len(fresh) + 1) * WORDS, pa.int32()), pa.array(signed(bits.ravel())))
             lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(signed(h)))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(first).astype(np.int32)), each, lists], ["key", "n", "bits", "s"])
@@ -226,11 +290,31 @@ def links(texts: DataFrame, hot: int = HOT) -> DataFrame:
         share_of = F.when(F.col("label") == F.col("main"), F.array(F.pmod(F.xxhash64("key", F.lit(3)), shares).cast("int"))).otherwise(F.sequence(F.lit(0), shares - 1))
         spread = named.join(main, "h").withColumn("share", F.explode(share_of))
         rest = rest.unionByName(spread.select(F.xxhash64("h", "share").alias("g"), "label", "n", "pos", "key"))
-    met = rest.repartition("g").sortWithinPartitions("g", "label", "key").mapInArrow(_across, "a long, b long")
-    met = stored(met.distinct())
+    shape = "g long, label long, n int, pos int, key long"
+    kept = stored(rest.repartition("g").sortWithinPartitions("g", "label", "key").mapInArrow(_open, shape))
+    keys = stored(kept.select("key").distinct())
+    bits = stored(own.join(_sized(keys), "key", "left_semi").dropDuplicates(["key"]).mapInArrow(_sketches, "key long, bits binary"))
+    dealt = _dealt(kept, bits)
+    met = stored(dealt.mapInArrow(_forest, "a long, b long").distinct())
     second = _similar(met, own)
-    discard(rows, led, pairs, met, *([named] if n_large else []))
-    return first.unionByName(second)
+    # nodes are labels, so that only what the forest joined is named anew
+    named_a = second.join(_once(kept, "a", "x"), "a").join(_once(kept, "b", "y"), "b")
+    merged = graph.components(named_a, "x", "y").select(F.col("node").alias("label"), F.col("component").alias("now"))
+    renamed = kept.join(merged, "label", "left").select("g", F.coalesce("now", "label").alias("label"), "n", "pos", "key")
+    last = stored(_dealt(renamed, bits).mapInArrow(_across, "a long, b long").distinct().join(met, ["a", "b"], "left_anti"))
+    third = _similar(last, own)
+    discard(rows, led, pairs, kept, keys, bits, met, last, *([named] if n_large else []))
+    return first.unionByName(second).unionByName(third)
+
+
+def _dealt(rows: DataFrame, bits: DataFrame) -> DataFrame:
+    """Rows with their texts' bits, by group and label."""
+    return rows.join(bits, "key").select("g", "label", "n", "pos", "key", "bits").repartition("g").sortWithinPartitions("g", "label", "key")
+
+
+def _once(rows: DataFrame, key: str, label: str) -> DataFrame:
+    """Each key's label, under other names."""
+    return rows.groupBy(F.col("key").alias(key)).agg(F.first("label").alias(label))
 
 
 def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:

@@ -673,6 +673,36 @@ def test_near_copies_of_one_text_bring_few_links(spark):
     assert len(pairs) < 10 * len(rows) and set(classes(pairs, len(rows))) == {0}
 
 
+def test_half_alike_copies_bring_few_candidates(spark, monkeypatch):
+    rng = random.Random(19)
+    text = " ".join(rng.choice(WORDS) + str(rng.randrange(1000)) for _ in range(120))
+    texts = sorted({edited(rng, text, 3 if i % 3 else 1) for i in range(200)})
+    asked, similar = [], near_copies._similar
+    monkeypatch.setattr(near_copies, "_similar", lambda pairs, own: asked.append(pairs.count()) or similar(pairs, own))
+    got = {tuple(r) for r in near_copies.links(spark.createDataFrame(list(enumerate(texts)), "key long, text string")).collect()}
+    sets = [shingles(t) for t in texts]
+    want = {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])}
+    assert got <= want and classes(got, len(texts)) == classes(want, len(texts)) and len(set(classes(want, len(texts)))) > 20
+    # the leaders' pairs come first; the rest once made thousands, of texts that are all below 0.8
+    assert sum(asked[1:]) < 2 * len(texts)
+
+
+@pytest.mark.parametrize("pairs", [5, 1 << 20])
+def test_forest_joins_what_all_pairs_join(monkeypatch, pairs):
+    monkeypatch.setattr(near_copies, "_PAIRS", pairs)
+    rng = random.Random(5)
+    masks = [rng.getrandbits(64) for _ in range(4)]
+    rows = sorted((rng.randrange(4), rng.randrange(9), 50 + k % 20, rng.randrange(8), k, (masks[k % 4] ^ (1 << rng.randrange(64))).to_bytes(8, "little") * 2) for k in range(90))
+    names = ["g", "label", "n", "pos", "key", "bits"]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + 7], strict=True)], names) for i in range(0, len(rows), 7)]
+    every, some = ([(a, b) for p in step(batches) for a, b in zip(p.column(0).to_pylist(), p.column(1).to_pylist(), strict=True)] for step in (near_copies._across, near_copies._forest))
+    place = {r[4]: 9 * r[0] + r[1] for r in rows}
+    flips = {(x[4], y[4]): (int.from_bytes(x[5], "little") ^ int.from_bytes(y[5], "little")).bit_count() for x in rows for y in rows}
+    want = {(x[4], y[4]) for x in rows for y in rows if x[0] == y[0] and x[1] != y[1] and x[4] < y[4] and 9 * min(x[2] - x[3], y[2] - y[3]) >= 4 * (x[2] + y[2]) and 9 * flips[x[4], y[4]] <= x[2] + y[2]}
+    assert set(every) == want and set(some) <= want and len(some) < len({place[k] for k in place}) <= 36 < len(want)
+    assert classes([(place[a], place[b]) for a, b in some], 36) == classes([(place[a], place[b]) for a, b in want], 36)
+
+
 @pytest.mark.parametrize("pairs", [5, 1 << 20])
 def test_pairs_across_labels_over_batches(monkeypatch, pairs):
     monkeypatch.setattr(near_copies, "_PAIRS", pairs)
