@@ -403,6 +403,52 @@ def test_host_repeats(spark):
     assert got[9] == [shared] and got[10] == [""] and got[11] == [""] and len(got[12]) == 2
 
 
+@pytest.mark.parametrize("texts", [40, 0])
+def test_suffix_array_equals_sorting(texts):
+    rng = random.Random(23)
+    rows = [[rng.randrange(3) for _ in range(rng.randrange(1, 40))] for _ in range(texts)]
+    words, ends = np.array([w for r in rows for w in r], np.int64), np.array([e for r, e in zip(rows, np.cumsum([len(r) for r in rows]), strict=True) for _ in r], np.int64)
+    order, common = html_extract.suffix_array(words, ends)
+    cut = [words[i:e].tolist() for i, e in enumerate(ends)]
+    assert [cut[i] for i in order] == sorted(cut) and sorted(order.tolist()) == list(range(len(cut)))
+    for x, y, c in zip(order[:-1], order[1:], common[1:], strict=True):
+        same = next((k for k, (u, v) in enumerate(zip(cut[x], cut[y], strict=False)) if u != v), min(len(cut[x]), len(cut[y])))
+        assert c == same
+
+
+@pytest.mark.parametrize("shard", [1 << 13, 10])
+def test_host_repeats_equal_brute_force(spark, monkeypatch, shard):
+    monkeypatch.setattr(html_extract, "SHARD", shard)
+    rng = random.Random(24)
+    depth = html_extract.DEPTH
+    parts = [[rng.choice(WORDS) for _ in range(rng.randrange(1, 25))] for _ in range(12)]
+    make = lambda: sum((rng.choice(parts)[rng.randrange(3) :] if rng.random() < 0.6 else [rng.choice("xyz") + str(rng.randrange(99)) for _ in range(6)] for _ in range(rng.randrange(1, 5))), [])
+    pages = [(i, rng.choice("abc"), [b for b in (make() for _ in range(4)) if b]) for i in range(30)]
+    grams = lambda ws: [tuple(ws[i : i + depth]) for i in range(max(1, len(ws) - depth + 1))]
+    on = defaultdict(set)
+    for i, host, blocks in pages:
+        for ws in blocks:
+            for g in grams(ws):
+                on[host, g].add(i)
+    want = {}
+    for i, host, blocks in pages:
+        out = []
+        for ws in blocks:
+            gone = {k for j, g in enumerate(grams(ws)) if len(on[host, g]) > 1 for k in range(j, j + depth)}
+            out.append(" ".join(w for k, w in enumerate(ws) if k not in gone))
+        want[i] = "\n\n".join(x for x in out if x)
+    rows = [(i, f"http://{host}/{i}", "".join(f"<p>{' '.join(ws)}" for ws in blocks)) for i, host, blocks in pages]
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want and sum(x != "\n\n".join(" ".join(b) for b in p[2]) for x, p in zip(got.values(), pages, strict=True)) > 10
+
+
+def test_repeats_decide_open_names_in_articles(spark):
+    shared = "this long notice stands on every single page of the host again and again"
+    rows = [(i, "http://h.example/", f'<article><p>Text {i}<div class="related-work">Work that only page {i} speaks of</div><div id="notice-period">{shared}</div><div class="ad-box">Buy {i}</div><p>{shared}</article><p>out {i}') for i in range(3)]
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Text {i}\n\nWork that only page {i} speaks of\n\n{shared}" for i in range(3)}
+
+
 STEMS = {"aa": ["kel", "mor", "tis", "ula"], "bb": ["zh", "ochk", "riv", "eng"], "cc": ["ñad", "éch", "quo", "lür"]}
 
 
