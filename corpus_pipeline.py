@@ -2,15 +2,29 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.llm import decontaminate, graph, language_id, mixing, near_copies, simhash, substring_dedup
-from folioforge.llm.common import checkpointed, stored, table
+from folioforge.llm.common import checkpointed, settings, short_batches, stored, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _bounded(stage):
+    """The stage in short batches, which the session keeps; ``run`` sets it back."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        short_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@_bounded
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents in which no language can be told (``und``: null or without a letter).
 
@@ -23,6 +37,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return marked.where(F.col("lang_pred") != language_id.UNKNOWN).select(*docs.columns)
 
 
+@_bounded
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of each group of linked texts: that of the least doc_id (nulls last).
 
@@ -46,17 +61,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return one.select("one.*")
 
 
+@_bounded
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut the passages of 13 words or more that a smaller doc_id has too; texts left without a word go."""
     cut = substring_dedup.cut_documents(docs)
     return cut.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
+@_bounded
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold a benchmark item within its edit budget."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
 
 
+@_bounded
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat documents so that sources come near their target weights; ``copy`` counts from 1."""
     return mixing.mix(docs)
@@ -75,9 +93,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(*COLUMNS)
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = stored(docs)
-    return docs
+    before = short_batches(spark)
+    try:
+        docs = table(spark, sf_dir, "documents").select(*COLUMNS)
+        for k, (_, stage) in enumerate(STAGES):
+            docs = stage(spark, docs, sf_dir)
+            if k < len(STAGES) - 1:
+                docs = stored(docs)
+        return docs  # the last stage runs no Python
+    finally:
+        settings(spark, before)

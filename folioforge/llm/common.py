@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: bytes of a batch that goes to Python, about (one row is never split), and rows of a batch that a scan holds
+SHORT = {"spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20), "spark.sql.parquet.columnarReaderBatchSize": "512"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +76,22 @@ def _delete(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def short_batches(spark: SparkSession) -> dict[str, str]:
+    """Bound what a task holds of its texts at a time, in the JVM and in Python; returns the settings as they were.
+
+    By default batches are of 10,000 rows (64 MB at most), of which a task holds several copies. The settings stay with the
+    session, as frames that are returned are planned later, by whoever runs them. No row is left out or cut.
+    """
+    before = {k: spark.conf.get(k) for k in SHORT}
+    settings(spark, SHORT)
+    return before
+
+
+def settings(spark: SparkSession, values: dict[str, str]) -> None:
+    for k, v in values.items():
+        spark.conf.set(k, v)
+
+
 @contextlib.contextmanager
 def shuffles_dropped(spark: SparkSession):
     """Queries made and run inside leave no shuffle files behind."""

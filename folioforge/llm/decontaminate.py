@@ -156,6 +156,8 @@ def _by_grams(index: Index, texts: list[str]) -> list[tuple[int, int, int, int,
     row = np.searchsorted(offset, at, "right") - 1
     inside = at + Q <= offset[row + 1]
     at, slot, row = at[inside], slot[inside], row[inside]
+    if not len(at):
+        return []
     counts = index.begin[slot + 1] - index.begin[slot]
     ends, parts, i = np.cumsum(counts), [], 0
     while i < len(at):  # about _POSTINGS of them at a time

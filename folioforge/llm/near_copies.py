@@ -37,8 +37,10 @@ KEYS = 500_000
 #: texts that share a shingle, for which it is hot
 HOT = 1 << 13
 LEADS = 3
-#: hot shingles up to this number are broadcast
+#: hot shingles (or buckets of shingles) up to this number are broadcast
 FEW = 10_000
+#: bits that name a bucket of shingles, at least
+BUCKETS = 16
 _BASE = 0xD6E8FEB86659FD93
 _PAIRS = 1 << 20
 #: words of 64 parity bits for each set
@@ -265,7 +267,7 @@ def links(texts: DataFrame, hot: int = HOT) -> DataFrame:
     rows = stored(own.mapInArrow(_prefixes(spark.sparkContext.broadcast(frequent)), "h long, n int, pos int, key long"))
     rank = F.xxhash64("key", F.lit(9))
     # the shingles of more than ``hot`` texts, one in ``hot`` rows at most
-    large = checkpointed(rows.groupBy("h").agg(F.count("*").alias("c"), F.min(F.struct(rank.alias("r"), "key", "n", "pos")).alias("lead")).where(F.col("c") > hot))
+    large = checkpointed(_crowded(rows, hot).groupBy("h").agg(F.count("*").alias("c"), F.min(F.struct(rank.alias("r"), "key", "n", "pos")).alias("lead")).where(F.col("c") > hot))
     n_large = large.count()
     few = n_large <= FEW
     large = F.broadcast(large) if few else large
@@ -307,6 +309,19 @@ def links(texts: DataFrame, hot: int = HOT) -> DataFrame:
     return first.unionByName(second).unionByName(third)
 
 
+def _crowded(rows: DataFrame, hot: int) -> DataFrame:
+    """The rows of all shingles with over ``hot`` rows, and few others.
+
+    Rows are counted by some bits of the shingle first, so that tasks hold no entry for each shingle: one with
+    so many rows stands in a bucket with as many.
+    """
+    buckets = 1 << max(BUCKETS, (4 * rows.count() // hot).bit_length())
+    bucket = F.col("h").bitwiseAND(F.lit(buckets - 1)).alias("bucket")
+    full = checkpointed(rows.groupBy(bucket).agg(F.count("*").alias("held")).where(F.col("held") > hot).select("bucket"))
+    full = F.broadcast(full) if full.count() <= FEW else full
+    return rows.withColumn("bucket", bucket).join(full, "bucket", "left_semi").drop("bucket")
+
+
 def _dealt(rows: DataFrame, bits: DataFrame) -> DataFrame:
     """Rows with their texts' bits, by group and label."""
     return rows.join(bits, "key").select("g", "label", "n", "pos", "key", "bits").repartition("g").sortWithinPartitions("g", "label", "key")

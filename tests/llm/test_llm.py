@@ -790,3 +790,52 @@ def test_pipeline_language_without_labels(spark):
 
     docs = docs_table(spark, [(1, "some words"), (2, "12 !"), (3, None), (4, ""), (5, "\u4e2d"), (None, "\n \u00e9")], extra=False).withColumn("lang", F.lit(None).cast("string"))
     assert sorted(str(r["doc_id"]) for r in corpus_pipeline.language(spark, docs, "").collect()) == ["1", "5", "None"]
+
+
+def test_pipeline_sends_texts_in_short_batches(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    names = "spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize"
+    for name in names:
+        spark.conf.unset(name)
+    docs_table(spark, [(i, f"w{i} " * (250_000 if i else 2_500_000), "en", "a", 0) for i in range(25)], extra=False).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "an item that no text holds")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+
+    def held(index):
+        def run(batches):
+            for batch in batches:
+                assert batch.num_rows == 1 or batch.nbytes < 16 << 20, batch.nbytes
+                yield batch
+
+        return run
+
+    monkeypatch.setattr(decontaminate, "_without", held)
+    out = corpus_pipeline.decontaminated(spark, docs, str(tmp_path))
+    same = docs.select("doc_id", F.md5("text").alias("h")).exceptAll(out.select("doc_id", F.md5("text").alias("h")))
+    assert out.count() == 25 and same.count() == 0
+    monkeypatch.undo()
+    for name in names:
+        spark.conf.unset(name)
+    before = [spark.conf.get(name) for name in names]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[3:])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+    assert [spark.conf.get(name) for name in names] == before
+
+
+def test_near_copies_crowded_shingles(spark, monkeypatch):
+    rng = random.Random(5)
+    hashes = [rng.randrange(-(1 << 63), 1 << 63) for _ in range(3000)]
+    rows = [(h, 9, 0, i) for i, h in enumerate(hashes)] + [(hashes[c], 9, 0, 10_000 + 100 * c + j) for c in range(40) for j in range(c)]
+    rows = spark.createDataFrame(rows, "h long, n int, pos int, key long")
+    for bits in (2, 16):  # few buckets, and nearly one for each shingle
+        monkeypatch.setattr(near_copies, "BUCKETS", bits)
+        kept = Counter(r["h"] for r in near_copies._crowded(rows, 20).collect())
+        assert {h: n for h, n in kept.items() if n > 20} == {hashes[c]: c + 1 for c in range(20, 40)}
+        assert len(kept) < 500
+
+
+def test_decontaminate_texts_without_a_shared_gram():
+    index = decontaminate.Index([(1, "measure twice and cut once, said the old carpenter")], 0.1)
+    index.maybe[:] = True  # every gram passes the first look, and none the second
+    assert decontaminate.search(index, ["quite another sentence than that one"]) == []
