@@ -369,7 +369,7 @@ _NAMES = ("the", "and", "que", "der")
 def facility_ner(spark, sf_dir):
     model = ner.gazetteer(_NAMES)
     docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("bibcode"), F.col("text").alias("fulltext"), F.lit(None).cast("string").alias("acknowledgements"))
-    return ner.facilities(docs, model, model).select("bibcode", F.array_join("facility_ft", ",").alias("found"))
+    return ner.facilities(docs, model, model, empty_too=True).select("bibcode", F.array_join("facility_ft", ",").alias("found"))
 
 
 @query("SELECT CASE WHEN l.doc_id IS NULL THEN 'missing_dir' WHEN l.doc_id % 3 = 0 THEN 'missing_meta' WHEN l.doc_id % 3 = 1 THEN 'missing_ft' WHEN l.doc_id % 5 = 0 THEN 'missing_date' ELSE 'ok' END AS status, count(*) AS n FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id GROUP BY ALL")

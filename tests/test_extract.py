@@ -5,6 +5,7 @@ import pytest
 from folioforge.operators import extract as X
 from folioforge.operators import ner
 from folioforge.operators.tree import parse, select
+from folioforge.plans import queries
 from folioforge.sources import remote
 
 DEEP = 3000
@@ -153,3 +154,10 @@ def test_facilities(spark):
     rows = spark.createDataFrame([("b", "HST, HST and Very Large Array", ""), ("c", None, "no Arrays")], "bibcode string, acknowledgements string, fulltext string")
     out = {r[0]: (r[1], r[2]) for r in ner.facilities(rows, model, model).collect()}
     assert out == {"b": (["HST", "Very Large Array"], None), "c": (None, [])}
+
+
+def test_facilities_of_odd_texts(spark, tmp_path):
+    texts = [None, "", " ", "the \U0002ebf0the der\U0002ee5d", "\u4e00and \xb2que _der the-and"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r[0]: r[1] for r in queries.facility_ner(spark, str(tmp_path)).collect()}
+    assert got == {"D0": None, "D1": "", "D2": "", "D3": "der,the", "D4": "and,the"}
