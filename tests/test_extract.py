@@ -1,6 +1,8 @@
+import os
 import subprocess
 
 import pytest
+from pyspark.sql import functions as F
 
 from folioforge.operators import extract as X
 from folioforge.operators import ner
@@ -161,3 +163,25 @@ def test_facilities_of_odd_texts(spark, tmp_path):
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r[0]: r[1] for r in queries.facility_ner(spark, str(tmp_path)).collect()}
     assert got == {"D0": None, "D1": "", "D2": "", "D3": "der,the", "D4": "and,the"}
+
+
+def test_a_worker_holds_few_documents(spark, monkeypatch):
+    def measured(text, *_):
+        with open("/proc/self/statm") as f:
+            return {"fulltext": text + "x", "acknowledgements": f.read().split()[1]}
+
+    monkeypatch.setattr(X, "xml_fields", measured)
+    monkeypatch.setitem(X.EXTRACTORS, "xml", measured)
+    rows = spark.range(3000, numPartitions=1).select("id", F.concat(F.repeat(F.lit("word "), 8000), F.col("id").cast("string")).alias("t"))
+    held = rows.select(X.fields_udf("xml")("t").alias("x")).select(F.length("x.fulltext").alias("n"), "x.acknowledgements")
+    files = rows.select("id", F.lit("xml").alias("file_format"), F.lit("P").alias("provider"), F.col("t").alias("content"))
+    for df in (held, X.extract(files).select(F.length("fulltext").alias("n"), "acknowledgements")):
+        n, least, most = df.agg(F.count("n"), F.min(F.col("acknowledgements").cast("long")), F.max(F.col("acknowledgements").cast("long"))).first()
+        assert n == 3000 and (most - least) * os.sysconf("SC_PAGE_SIZE") < 40e6, (least, most)
+
+
+def test_a_document_is_extracted_once(spark):
+    files = spark.createDataFrame([("a", "xml", "P", "<x><body>b</body></x>")], "bibcode string, file_format string, provider string, content string")
+    got = X.extract(files).where("error IS NULL AND fulltext <> ''")
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("one(") == 1
+    assert got.first()["fulltext"] == "b"
