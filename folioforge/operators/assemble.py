@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.textclean import normalise, trim_words
+from ..functions.textclean import clean
 
 
 def explode_sources(records: DataFrame, sources: Column) -> DataFrame:
@@ -49,7 +49,7 @@ def message(records: DataFrame) -> DataFrame:
     """What goes downstream: the body cleaned once more, and the fields that aren't empty."""
     return records.select(
         "bibcode",
-        trim_words(normalise(F.col("fulltext"))).alias("body"),
+        clean(F.col("fulltext"), translated=False).alias("body"),
         F.nullif(F.col("acknowledgements"), F.lit("")).alias("acknowledgements"),
         F.when(F.size("dataset") > 0, F.col("dataset")).alias("dataset"),
         F.when(F.size("facility") > 0, F.col("facility")).alias("facility"),

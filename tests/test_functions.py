@@ -30,6 +30,15 @@ def test_cleaning_on_any_text(spark, texts):
     assert column(spark, texts, textclean.clean) == [textclean.py_clean(t) for t in texts]
 
 
+def test_cleaning_computes_each_step_once(spark):
+    rows = spark.createDataFrame([(t,) for t in [*ODD, "z\U0002ffff\U0001f600\ue000 \x1c\x7f", "\x0b \x01", None]], "t string")
+    for f, expected in ((textclean.clean, textclean.py_clean), (lambda c: textclean.clean(c, translated=False), lambda t: textclean.py_clean(t, False))):
+        out = rows.select("t", f(F.col("t")).alias("c"))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("regexp_replace(") <= 2 and plan.count("BatchEvalPython") == 1 and "ArrowEvalPython" not in plan
+        assert all(r["c"] == (None if r["t"] is None else expected(r["t"])) for r in out.collect())
+
+
 def test_decode_leaves_out_what_is_not_utf8(spark):
     rows = spark.createDataFrame([(bytearray(b"a\xff\xc3b\xc3\xa9"),), (None,)], "c binary")
     assert [r[0] for r in rows.select(textclean.decode_utf8("c")).collect()] == ["abé", None]
